@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyquilt.llm import chat, packing, tokens, warc
+from skyquilt.llm import chat, lines, neardup, packing, tokens, toxicity, warc
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -16,6 +16,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), 3, 85)
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(_table(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxic_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_digest(_table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
 
@@ -33,6 +45,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op7_sentencepiece, op8_packing, op9_warc, op10_chat_format)
+    f.__name__: f for f in (op4_near_duplicates, op5_line_dedup, op6_toxicity, op7_sentencepiece, op8_packing, op9_warc, op10_chat_format)
 }
-ORACLE_SQL = {"op9_warc": warc.ORACLE, "op10_chat_format": chat.ORACLE}
+ORACLE_SQL = {"op4_near_duplicates": neardup.ORACLE, "op9_warc": warc.ORACLE, "op10_chat_format": chat.ORACLE}
