@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyquilt.llm import chat, lines, neardup, packing, tokens, toxicity, warc
+from skyquilt.llm import chat, licenses, lines, neardup, neighbours, packing, search, tokens, toxicity, warc
 
 PIECES, WORDS = "piece_bpe_32k.model", "word_bpe_49k.json"
 
@@ -16,6 +16,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return search.top_k(docs, docs.where("doc_id % 100 = 0"))
+
+
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(licenses.as_files(_table(spark, sf_dir, "documents")))
+    return found.withColumnRenamed("file_id", "doc_id")
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"), 3, 85)
 
@@ -45,6 +60,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_near_duplicates, op5_line_dedup, op6_toxicity, op7_sentencepiece, op8_packing, op9_warc, op10_chat_format)
+    f.__name__: f for f in (op1_nearest, op2_top_k, op3_licenses, op4_near_duplicates, op5_line_dedup, op6_toxicity, op7_sentencepiece, op8_packing, op9_warc, op10_chat_format)
 }
 ORACLE_SQL = {"op4_near_duplicates": neardup.ORACLE, "op9_warc": warc.ORACLE, "op10_chat_format": chat.ORACLE}
