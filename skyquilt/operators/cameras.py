@@ -22,7 +22,7 @@ def scale_optical_bar(lines: DataFrame, factor: int, size: tuple[int, int] | Non
     if factor <= 0:
         raise ValueError("the factor is above 0")
     v = F.split(F.trim("value"), r"\s+")
-    plain = lambda x: F.regexp_replace(F.lower(x.cast("string")), r"e-0?(\d)$", "e-0$1")
+    plain = lambda x: F.regexp_replace(F.regexp_replace(F.lower(x.cast("string")), r"\.0e", "e"), r"e-(\d)$", "e-0$1")
     sized = F.array_join(F.transform(v, lambda x: half_even(x.cast("double") * factor).cast("string")), " ") if size is None else F.lit(f"{size[0]} {size[1]}")
     centre = F.array_join(F.transform(v, lambda x: plain(x.cast("double") * factor)), " ")
     pitch = plain(F.trim("value").cast("double") / factor)
