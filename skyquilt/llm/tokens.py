@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: Entries that a task's chunk table holds before it begins anew, which bounds its memory.
-TABLE_ENTRIES = 200_000
+#: Entries that a worker's table holds before it begins anew, which bounds its memory.
+TABLE_ENTRIES = 300_000
+#: Documents that are looked up together.
+SLICE = 256
 _RUNS = re.compile(" +[^ ]*")
 _MARK = "▁"
 
@@ -26,18 +30,24 @@ class ChunkTable:
     and the word behind it. Each distinct chunk is segmented by the library once, and ids are joined by position.
     """
 
-    def __init__(self, model: str, value: Callable[[list[int]], object] = tuple):
+    def __init__(self, model: str):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=model)
-        pieces = map(self.library.id_to_piece, range(self.library.get_piece_size()))
+        pieces = [self.library.id_to_piece(k) for k in range(self.library.get_piece_size())]
         if any(_MARK in x.lstrip(_MARK) for x in pieces):
             raise ValueError("a piece of this model crosses a whitespace marker")
         if "".join(self.library.encode("a  b ", out_type=str)) != f"{_MARK}a{_MARK * 2}b{_MARK}":
             raise ValueError("this model changes white space before it segments")
+        self.starts = np.array([x.startswith(_MARK) for x in pieces])
+        self.shown = [str(k) for k in range(len(pieces))]
+        self.known: dict[str, tuple[str, list[int]]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
         # A lone marker can't be asked for as a text, which gets a marker of its own.
-        self.lone = value([self.library.piece_to_id(_MARK)])
-        self.value, self.known = value, {"": self.lone}
+        lone = self.library.piece_to_id(_MARK)
+        self.known = {"": (str(lone), [lone])}
 
     def chunks(self, text: str) -> list[str]:
         """Each chunk without its first marker."""
@@ -48,28 +58,47 @@ class ChunkTable:
             return [x[1:] for x in _RUNS.findall(f" {text}")]
         return text.split(" ")
 
-    def values(self, texts: list[str]) -> Iterator[list]:
-        """For each text the values of its chunks' ids, in order."""
-        for text in texts:
-            own = self.chunks(text)
+    def _learn(self, new: list[str]) -> None:
+        """Segments chunks: those of one marker in one text, cut where a piece begins with a marker; others one by one."""
+        one, odd = [x for x in new if x[:1] != " "], [x for x in new if x[:1] == " "]
+        found = self.library.encode(odd, num_threads=1) if odd else []
+        if one:
+            ids = self.library.encode(" ".join(one), num_threads=1)
+            cuts = [*np.flatnonzero(self.starts[ids]).tolist(), len(ids)]
+            if len(cuts) != len(one) + 1:
+                raise ValueError("chunks and pieces differ")
+            found = [ids[x:y] for x, y in zip(cuts, cuts[1:])] + found
+        shown = self.shown.__getitem__
+        self.known.update((x, (" ".join(map(shown, ids)), ids)) for x, ids in zip(one + odd, found, strict=True))
+
+    def values(self, texts: list[str]) -> Iterator[list[tuple[str, list[int]]]]:
+        """For each text the decimal ids, joined by spaces, and the ids of its chunks, in order."""
+        for at in range(0, len(texts), SLICE):
+            own = list(map(self.chunks, texts[at : at + SLICE]))
             if len(self.known) > TABLE_ENTRIES:
-                self.known = {"": self.lone}
-            new = [x for x in set(own) if x not in self.known]
-            if new:
-                self.known.update(zip(new, map(self.value, self.library.encode(new, num_threads=1)), strict=True))
-            yield list(map(self.known.__getitem__, own))
+                self._forget()
+            if new := list(set(chain.from_iterable(own)).difference(self.known)):
+                self._learn(new)
+            for x in own:
+                yield list(map(self.known.__getitem__, x))
+
+
+#: A worker keeps its tables from task to task.
+@lru_cache(maxsize=1)
+def chunk_table(model: str) -> ChunkTable:
+    return ChunkTable(model)
 
 
 def encode_digest(documents: DataFrame, model: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 for every whole text: encoded with an end id, then decoded.
 
     A null text is empty and has the end id alone; every row gives a row, repeated ones too, and a null
-    doc_id stays null. Other columns are ignored. The chunk table belongs to a task, as a table of all chunks
+    doc_id stays null. Other columns are ignored. The chunk table belongs to a worker, as a table of all chunks
     of the corpus could only be joined back through a row for each word of it.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ChunkTable(model, lambda ids: (" ".join(map(str, ids)), ids))
+        table = chunk_table(model)
         end = table.library.eos_id()
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
@@ -90,10 +119,10 @@ def encode_ids(documents: DataFrame, model: str) -> DataFrame:
     """doc_id and ids (array of int, with the end id) for every whole text; the cases are those of ``encode_digest``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = ChunkTable(model)
-        end = (table.library.eos_id(),)
+        table = chunk_table(model)
+        end = [table.library.eos_id()]
         for batch in batches:
-            ids = [list(chain.from_iterable([*own, end])) for own in table.values([x or "" for x in batch.column(1).to_pylist()])]
+            ids = [[*chain.from_iterable(x[1] for x in own), *end] for own in table.values([x or "" for x in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return documents.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, "doc_id long, ids array<int>")
@@ -103,7 +132,7 @@ def decode_ids(encoded: DataFrame, model: str) -> DataFrame:
     """doc_id and text from doc_id and ids; null ids give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = ChunkTable(model).library
+        library = chunk_table(model).library
         for batch in batches:
             texts = [library.decode(x or []) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
@@ -116,32 +145,51 @@ _NOT_SPACE = re.compile("[\x1c-\x1f]")
 END = 1
 
 
+#: Stands between words that are looked up together; words that hold it are looked up alone.
+_BETWEEN = "\u2605"
+
+
 class WordTable:
     """Little-endian 32-bit ids of a whole text, for a tokenizers file whose pieces never cross white space."""
 
     def __init__(self, model: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(model)
-        if self.ids(["x y  z"])[0] != b"".join(self.ids(["x", "y", "z"])):
+        self.between = self.ids(_BETWEEN)
+        if len(self.between) != 1 or self.ids("x y  z").tolist() != [k for x in "xyz" for k in self.ids(x)]:
             raise ValueError("pieces of this tokenizer cross white space")
         self.known: dict[str, bytes] = {}
 
-    def ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, text: str) -> bytes:
-        if _NOT_SPACE.search(text):
-            return self.ids([text])[0]
-        words = text.split()
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _learn(self, new: list[str]) -> None:
+        one, odd = [x for x in new if _BETWEEN not in x], [x for x in new if _BETWEEN in x]
+        if one:
+            ids = self.ids(f" {_BETWEEN} ".join(one))
+            raw, cuts = ids.tobytes(), [-4, *(np.flatnonzero(ids == self.between[0]) * 4).tolist(), ids.nbytes]
+            if len(cuts) != len(one) + 1:
+                raise ValueError("words and ids differ")
+            self.known.update((w, raw[x + 4 : y]) for w, x, y in zip(one, cuts, cuts[1:]))
+        self.known.update((x, self.ids(x).tobytes()) for x in odd)
+
+    def encode(self, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), SLICE):
+            part = texts[at : at + SLICE]
+            own = [None if _NOT_SPACE.search(x) else x.split() for x in part]
             if len(self.known) > TABLE_ENTRIES:
                 self.known = {}
-            new = [x for x in dict.fromkeys(words) if x not in self.known]
-            self.known.update(zip(new, self.ids(new), strict=True))
-            return b"".join(map(self.known.__getitem__, words))
+            if new := list(set(chain.from_iterable(x for x in own if x)).difference(self.known)):
+                self._learn(new)
+            for text, words in zip(part, own, strict=True):
+                yield self.ids(text).tobytes() if words is None else b"".join(map(self.known.__getitem__, words))
+
+
+@lru_cache(maxsize=1)
+def word_table(model: str) -> WordTable:
+    return WordTable(model)
 
 
 def cut_pieces(documents: DataFrame, model: str, capacity: int) -> DataFrame:
@@ -154,12 +202,13 @@ def cut_pieces(documents: DataFrame, model: str, capacity: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        table, task = WordTable(model), TaskContext.get().partitionId()
+        table, task = word_table(model), TaskContext.get().partitionId()
         end = np.array([END], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = table.encode(text or "") + end
+            texts = [x or "" for x in batch.column(1).to_pylist()]
+            for doc, ids in zip(batch.column(0).to_pylist(), table.encode(texts), strict=True):
+                ids += end
                 for at in range(0, len(ids), 4 * capacity):
                     own = ids[at : at + 4 * capacity]
                     rows.append((doc, at // 4, len(own) // 4, zlib.crc32(own), len(ids) // 4, task))
