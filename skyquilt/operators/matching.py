@@ -155,7 +155,7 @@ def status_counts(statuses: DataFrame) -> DataFrame:
 
 
 def ground_to_image(points: DataFrame, model: Callable[[np.ndarray], np.ndarray], columns: tuple[str, str, str] = ("x", "y", "h")) -> DataFrame:
-    """Adds samp and line of ground points by a camera model on arrays; a null height, or a model that fails, gives NaN."""
+    """Adds samp and line of ground points by a camera model on arrays; a null height, or a model that fails, gives null."""
     kind = T.StructType([*points.schema.fields, *(T.StructField(c, T.DoubleType()) for c in ("samp", "line"))])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -174,7 +174,7 @@ def ground_to_image(points: DataFrame, model: Callable[[np.ndarray], np.ndarray]
 def image_to_ground(pixels: DataFrame, ray: Callable[[np.ndarray, np.ndarray], np.ndarray], height: Callable[[np.ndarray], np.ndarray], start: float = 4000.0) -> DataFrame:
     """Adds x, y and h of pixels (samp, line): at most five turns between the ray at a height and the elevation there.
 
-    It ends when the height moves by less than 0.1; off the elevations the last point of the ray stays; a failure gives NaN.
+    It ends when the height moves by less than 0.1; off the elevations the last point of the ray stays; a failure gives null.
     """
     kind = T.StructType([*pixels.schema.fields, *(T.StructField(c, T.DoubleType()) for c in "xyh")])
 
