@@ -65,11 +65,16 @@ def split_lines(documents: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) of line ids those whose shingle sets have a Jaccard of PER_CENT at least; ``lines``: node, n, h."""
-    left = lines.select(F.col("node").alias("a"), F.col("h").alias("ha"))
-    right = lines.select(F.col("node").alias("b"), F.col("h").alias("hb"))
-    both = F.size(F.array_intersect("ha", "hb"))
-    return pairs.join(left, "a").join(right, "b").where(100 * both >= PER_CENT * (F.size("ha") + F.size("hb") - both)).select("a", "b")
+    """Of the pairs (a, b) of line ids those whose shingle sets have a Jaccard of PER_CENT at least; ``lines``: node, norm.
+
+    Texts travel, as they are an eighth of their shingles, which are made where a pair meets.
+    """
+    left = lines.select(F.col("node").alias("a"), F.col("norm").alias("x"))
+    right = lines.select(F.col("node").alias("b"), F.col("norm").alias("y"))
+    whole = lambda c: F.array_distinct(shingles(F.col(c)))
+    alike = lambda n, h, g: 100 * n >= PER_CENT * (F.size(h) + F.size(g) - n)
+    good = _let(whole("x"), lambda h: _let(whole("y"), lambda g: _let(F.size(F.array_intersect(h, g)), lambda n: alike(n, h, g))))
+    return pairs.join(left, "a").join(right, "b").where(good).select("a", "b")
 
 
 def line_components(documents: DataFrame) -> DataFrame:
@@ -93,14 +98,17 @@ def line_components(documents: DataFrame) -> DataFrame:
     key = Window.partitionBy("key")
     rows = rows.withColumns({"hub": F.min("node").over(key), "far": F.max("node").over(key)}).where("hub <> far")
     buckets = scratch.save(rows.select("key", "node", "size", "hub"))
+    scratch.release()
     # No line of a length outside this range can be similar enough.
     near = lambda a, b: F.least(a, b) * 100 >= PER_CENT * (F.greatest(a, b) - WIDTH) - 100 * WIDTH
     hub_size = buckets.where("node = hub").select("key", F.col("size").alias("hub_size"))
     stars = scratch.save(buckets.where("node <> hub").join(hub_size, "key").where(near(F.col("size"), F.col("hub_size"))).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
     wanted = buckets.select("node").distinct()
     texts = part.select("node", "norm").join(wanted, "node", "left_semi").dropDuplicates(["node"])
-    texts = scratch.save(texts.select("node", F.array_distinct(shingles(F.col("norm"))).alias("h")))
+    texts = scratch.save(texts)
+    scratch.release()
     links = scratch.save(_confirmed(stars, texts))
+    scratch.release()
     label = connected_components(links)
     labelled = buckets.join(label, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("c"))
     labelled = labelled.withColumns({"lo": F.min("c").over(key), "hi": F.max("c").over(key)}).where("lo <> hi")
@@ -110,6 +118,8 @@ def line_components(documents: DataFrame) -> DataFrame:
     cross = cross.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     more = _confirmed(cross.join(stars, ["a", "b"], "left_anti"), texts)
     label = connected_components(links.union(more))
+    scratch.drop(buckets, stars, texts, rest)
+    scratch.release()
     places = part.select("doc_id", "line_no", "node").join(label, "node", "left").select("doc_id", "line_no", F.coalesce("component", "node").alias("c"))
     first = places.groupBy("c").agg(F.min(F.struct("doc_id", "line_no")).alias("f"), F.count("*").alias("n")).where("n > 1").select("c", "f")
     gone = places.join(first, "c").where(F.struct("doc_id", "line_no") != F.col("f")).select("doc_id", "line_no").distinct().withColumn("gone", F.lit(True))
