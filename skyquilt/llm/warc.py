@@ -63,7 +63,7 @@ def _field(name: str) -> Column:
 
 
 def read_warc(spark, path: str) -> DataFrame:
-    """One row per record of the archives under ``path``: file, offset, head, body. No archives give no rows."""
+    """One row per record of the archives under ``path``: file, head, body. No archives give no rows."""
     scratch = Scratch(spark)
     cut = spark.read.option("lineSep", MAGIC).text(path)
     here = F.col("_metadata")
@@ -80,12 +80,10 @@ def read_warc(spark, path: str) -> DataFrame:
     # A piece follows the magic line before it, so its record begins len(MAGIC) earlier.
     spot = sized.join(base, ["file", "split"]).select("file", "split", "k", (F.col("base") + F.col("end") - len(MAGIC)).alias("offset"), "head_bytes", "n")
     after = F.col("offset") + len(MAGIC) + F.col("head_bytes") + 2 * len(GAP) + F.expr("try_cast(n as bigint)")
-    spot = scratch.save(spot.where("offset >= 0").select("file", "split", "k", "offset", after.alias("next")))
-    live = _reached(spot.select("file", "offset", "next"), scratch)
-    pieces = cut.join(spot, ["file", "split", "k"]).join(live.withColumn("live", F.lit(True)), ["file", "offset"], "left")
-    block = F.floor(F.col("offset") / BLOCK_BYTES)
-    pieces = pieces.select("file", "offset", "value", F.coalesce("live", F.lit(False)).alias("live"), block.alias("block"))
-    return _joined(pieces, live)
+    spot = scratch.save(spot.select("file", "split", "k", "offset", after.alias("next")))
+    live = _reached(spot.where("offset >= 0").select("file", "offset", "next"), scratch)
+    odd = scratch.save(_owned(spot.select("file", "split", "k", "offset"), live).where("not alone").drop("alone"))
+    return _joined(cut, odd)
 
 
 def _reached(spot: DataFrame, scratch: Scratch) -> DataFrame:
@@ -118,33 +116,47 @@ def _reached(spot: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.save(again.join(good, ["file", "block", "run"]).select("file", "offset"))
 
 
-def _joined(pieces: DataFrame, live: DataFrame) -> DataFrame:
-    """Records: each reached piece with the unreached pieces behind it, which are parts of its payload."""
-    far = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    lasts = live.groupBy("file", F.floor(F.col("offset") / BLOCK_BYTES).alias("block")).agg(F.max("offset").alias("last"))
-    odd = pieces.where(~F.col("live"))
-    # The last record that begins before an unreached piece: in its own block, or at the end of an earlier one.
+def _owned(spot: DataFrame, live: DataFrame) -> DataFrame:
+    """For each piece the offset of the record that it belongs to (owner), and whether it is that whole record (alone).
+
+    A reached piece is its own owner. An unreached one belongs to the last record that begins before it, in its
+    own block or at the end of an earlier one; before a file's first record there is none, and owner is null.
+    """
+    rows = spot.join(live.withColumn("live", F.lit(True)), ["file", "offset"], "left").withColumn("block", F.floor(F.col("offset") / BLOCK_BYTES))
     near = Window.partitionBy("file", "block").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
-    at = pieces.select("file", "offset", "block", "live").withColumn("at", F.last(F.when(F.col("live"), F.col("offset")), True).over(near))
-    own = at.where(~F.col("live")).drop("live")
-    spread = odd.select("file", "block").distinct().unionByName(lasts.select("file", "block")).distinct().join(lasts, ["file", "block"], "left")
-    carried = spread.select("file", "block", F.last("last", True).over(far).alias("before"))
-    own = own.join(carried, ["file", "block"], "left").select("file", "offset", F.coalesce("at", "before").alias("owner"))
-    tails = odd.join(own, ["file", "offset"]).groupBy("file", F.col("owner").alias("offset")).agg(F.sort_array(F.collect_list(F.struct("offset", "value"))).alias("t"))
-    tails = tails.select("file", "offset", F.concat(F.lit(MAGIC), F.array_join(F.transform("t", lambda x: x["value"]), MAGIC)).alias("tail"))
-    whole = pieces.where("live").join(tails, ["file", "offset"], "left").select("file", "offset", F.concat("value", F.coalesce("tail", F.lit(""))).alias("value"))
+    rows = rows.withColumn("at", F.last(F.when(F.col("live"), F.col("offset")), True).over(near))
+    far = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    ends = rows.groupBy("file", "block").agg(F.max("at").alias("end"))
+    before = ends.select("file", "block", F.last("end", True).over(far).alias("before"))
+    rows = rows.join(before, ["file", "block"]).withColumn("owner", F.coalesce("at", "before"))
+    tailed = rows.where("live is null").select("file", "owner").distinct().withColumn("tailed", F.lit(True))
+    return rows.join(tailed, ["file", "owner"], "left").select("file", "split", "k", "offset", "owner", (F.col("tailed").isNull() & F.col("owner").isNotNull()).alias("alone"))
+
+
+def _joined(cut: DataFrame, odd: DataFrame) -> DataFrame:
+    """Records: pieces that are whole as they are, and the others (``odd``) put together again.
+
+    Only the odd pieces are listed, so that the texts of ordinary archives needn't be dealt out. Pieces without an owner go.
+    """
+    place = ["file", "split", "k"]
+    parts = cut.join(odd.where("owner is not null"), place).groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("offset", "value"))).alias("t"))
+    parts = parts.select("file", F.array_join(F.transform("t", lambda x: x["value"]), MAGIC).alias("value"))
+    whole = cut.join(odd.select(*place), place, "left_anti").select("file", "value").union(parts)
     head = F.substring_index("value", GAP, 1)
-    whole = whole.select("file", "offset", head.alias("head"), F.encode("value", "UTF-8").alias("raw"), (F.octet_length(head) + len(GAP)).alias("from"))
+    whole = whole.select("file", head.alias("head"), F.encode("value", "UTF-8").alias("raw"), (F.octet_length(head) + len(GAP)).alias("from"))
     size = _field("Content-Length").cast("int")
-    return whole.select("file", "offset", "head", F.substring(F.col("raw"), F.col("from") + 1, size).alias("body"))
+    return whole.select("file", "head", F.substring(F.col("raw"), F.col("from") + 1, size).alias("body"))
 
 
 def warc_digest(pages: DataFrame) -> DataFrame:
     """The digest of ``op9_warc``: the table is written as archives, which are then read back."""
     spark = pages.sparkSession
-    path = Scratch(spark).path()
+    scratch = Scratch(spark)
+    path = scratch.path()
     write_warc(plan_records(pages), path)
+    scratch.release()
     back = read_warc(spark, path)
+    scratch.remove(path)  # its pieces are in a table by now
     page = lambda c: F.expr(f"try_cast(regexp_extract({c}, 'urn:page:([^>]*)', 1) as bigint)")
     back = back.select(_field("WARC-Type").alias("record_type"), _field("WARC-Record-ID").alias("id"), _field("WARC-Refers-To").alias("to"), _field("WARC-Payload-Digest").alias("told"), _field("X-Payload-Bytes").cast("long").alias("n"), "body")
     payload = F.substring(F.col("body"), F.lit(len(_HTTP) + 1), F.octet_length("body"))
