@@ -52,7 +52,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.warc_digest(_table(spark, sf_dir, "pages"))
+    return warc.warc_digest(_table(spark, sf_dir, "pages"), "gzip")
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

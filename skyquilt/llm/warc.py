@@ -1,7 +1,7 @@
 """WARC archives: written by Spark's text writer, read back by boundary-chain verification.
 
-Reading: the archive is split at each ``WARC/1.1`` line by Spark's own splittable text reader, so a task sees
-only its byte range. Each piece is a candidate record; its header names the offset at which its successor
+Reading: the archive is split at each ``WARC/1.1`` line by Spark's own text reader; of a plain archive a task sees
+only its byte range, of a gzip one all of it. Each piece is a candidate record; its header names the offset at which its successor
 must begin. Runs of candidates that point at one another are contracted inside a block of the file, pointers
 between runs are doubled until none moves, and only candidates that are reached from the file's start are
 records. A magic line inside a payload isn't reached and goes back into the payload that holds it.
@@ -41,8 +41,11 @@ def plan_records(pages: DataFrame) -> DataFrame:
     return rows.withColumn("refers_to", F.when(F.col("page_id") < F.col("last"), F.col("last"))).drop("last")
 
 
-def write_warc(records: DataFrame, path: str) -> None:
-    """Writes what ``plan_records`` gives as one archive per partition. Spaces and control characters of a url are percent-coded."""
+def write_warc(records: DataFrame, path: str, compression: str = "none") -> None:
+    """Writes what ``plan_records`` gives as one archive per partition. Spaces and control characters of a url are percent-coded.
+
+    Plain archives are read in splits. With ``compression`` gzip they take less room, and one task reads each.
+    """
     url = F.regexp_replace(F.coalesce("url", F.lit("")), r"[\x00-\x20\x7f]", "%20")
     name = F.concat(F.lit("<urn:page:"), F.coalesce(F.col("page_id").cast("string"), F.lit("")), F.lit(">"))
     revisit = F.col("refers_to").isNotNull()
@@ -55,7 +58,7 @@ def write_warc(records: DataFrame, path: str) -> None:
         ("X-Payload-Bytes", F.col("payload_bytes").cast("string")),
         ("Content-Type", F.lit("application/http; msgtype=response")), ("Content-Length", F.octet_length(body).cast("string")),
     ])
-    records.select(F.concat(head, body).alias("value")).write.option("lineSep", GAP).text(path)
+    records.select(F.concat(head, body).alias("value")).write.option("lineSep", GAP).text(path, compression=compression)
 
 
 def _field(name: str) -> Column:
@@ -148,12 +151,12 @@ def _joined(cut: DataFrame, odd: DataFrame) -> DataFrame:
     return whole.select("file", "head", F.substring(F.col("raw"), F.col("from") + 1, size).alias("body"))
 
 
-def warc_digest(pages: DataFrame) -> DataFrame:
+def warc_digest(pages: DataFrame, compression: str = "none") -> DataFrame:
     """The digest of ``op9_warc``: the table is written as archives, which are then read back."""
     spark = pages.sparkSession
     scratch = Scratch(spark)
     path = scratch.path()
-    write_warc(plan_records(pages), path)
+    write_warc(plan_records(pages), path, compression)
     scratch.release()
     back = read_warc(spark, path)
     scratch.remove(path)  # its pieces are in a table by now

@@ -107,6 +107,15 @@ def test_warc_small_splits(spark, monkeypatch):
     assert got == {r["page_id"]: len(r["html"]) for r in df.collect()}
 
 
+def test_warc_gzip(spark):
+    fake = f"{warc.MAGIC}Content-Length: 3\r\n\r\nabc\r\n\r\n"
+    rows = [(i, "u", ["plain", fake, fake * 40, "x" * 1200, ""][i % 5]) for i in range(40)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3, "page_id")
+    got = {tuple(r) for r in warc.warc_digest(df, "gzip").collect()}
+    assert got == {tuple(r) for r in warc.warc_digest(df).collect()}
+    assert {(r[0], r[1]) for r in got} == {(i, len(h)) for i, _, h in rows}
+
+
 TEXTS = ["", " ", "a", " a", "a ", "  a   b  ", "▁a ▁▁b", "line\nnext\ttab", "日本語 テキスト", "\U0001f600 \x00\x1c\x85 x", "the <s> </s> <|endoftext|>★ ★x", "x" * 3000, "ﬁ ½ É é", "don't 's 123 !!"]
 
 
