@@ -1,13 +1,15 @@
 """Fuzzy line deduplication in DataFrame functions only.
 
-A line's character shingles are hashed; the circle of hashes is cut into BINS arcs and the signature has each
-arc's smallest hash, an empty arc taking that of the next occupied one. ROWS bins make a band's key. Lines that
-share a key are candidates: first each with the smallest line of its bucket, then, in buckets that the
-confirmed links leave in several components, each with every line of another component. Candidates are
-confirmed by exact Jaccard on all shingles, components found by distributed union-find, and the first line
-of each component, by doc_id and line number, is kept.
-
-Two lines with a similarity of 0.8 share no bucket with probability 4e-5.
+A line's character shingles are hashed; the circle of hashes is cut into ARCS arcs, of which each gives its smallest
+hash, an empty arc taking that of the next occupied one. The first BINS of them are the signature, kept in BANDS
+numbers of ROWS bins each, which are the bands' keys as well. Lines that share a key are candidates: first each with
+the smallest line of its bucket, then, in buckets that the confirmed links leave in several components, each with the
+lines of other components. Candidates whose signatures agree in fewer than AGREE bins are left out; the others are
+confirmed by exact Jaccard on all shingles, components found by distributed union-find, and the first line of each
+component, by doc_id and line number, is kept.
+
+Two lines with a similarity of 0.8 share no bucket with probability 4e-5, and agree in fewer than AGREE bins with
+probability 1e-8. Lines of fewer shingles than arcs repeat values, which makes their bands less independent.
 """
 
 from __future__ import annotations
@@ -19,42 +21,74 @@ from skyquilt.operators.components import connected_components
 from skyquilt.plans.scratch import Scratch
 
 WIDTH = 9
-ROWS, BANDS = 2, 10
+ROWS, BANDS = 3, 14
 BINS = ROWS * BANDS
+#: A power of two, so that the top bits of a hash are its arc.
+ARC_BITS = 6
+ARCS = 1 << ARC_BITS
+#: Bits of a bin's value in the signature.
+VALUE_BITS = 63 // ROWS
+AGREE = 17
 PER_CENT = 80
 
 
+def _let(value: Column, then) -> Column:
+    """``then`` of a value that is worked out once: a lambda's variable, as Spark repeats what is written twice."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
 def shingles(line: Column) -> Column:
     """The hashed character shingles of a line; the whole line, if it is shorter than WIDTH."""
-    all_ = F.transform(F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{WIDTH}}}))"), F.lit(1)), lambda x: F.xxhash64(x))
-    return F.when(F.length(line) < WIDTH, F.array(F.xxhash64(line))).otherwise(all_)
 
+    def cut(units: Column) -> Column:  # four bytes a character, so that a place in the line is a place in the bytes
+        places = F.sequence(F.lit(1), F.greatest(F.length(units) - (4 * WIDTH - 1), F.lit(1)), F.lit(4))
+        return F.transform(places, lambda p: F.xxhash64(F.substr(units, p, F.lit(4 * WIDTH))))
 
-def _bin(x: Column) -> Column:
-    """0 to BINS - 1, rising with the hash."""
-    return F.floor((F.shiftright(x, 32) + F.lit(1 << 31)) * BINS / F.lit(1 << 32)).cast("int")
+    return _let(F.encode(line, "UTF-32"), cut)
 
 
-def _let(value: Column, then) -> Column:
-    """``then`` of a value that is worked out once: a lambda's variable, as Spark repeats what is written twice."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
+def _mark(x: Column) -> Column:
+    """Whether it is the lower end of an arc."""
+    return x.bitwiseAND(F.lit((1 << (64 - ARC_BITS)) - 1)) == 0
 
 
 def band_keys(hashes: Column) -> Column:
-    """The BANDS keys of a line from its sorted hashes, a different key in each band."""
+    """The BANDS keys of a line from its hashes."""
+    ends = F.array(*(F.lit(-(1 << 63) + (k << (64 - ARC_BITS))) for k in range(ARCS)))
+
+    def firsts(marked: Column) -> Column:
+        # What follows an arc's end is its smallest hash or, where it has none, the next arc's end.
+        return F.filter(marked, lambda _, i: _mark(F.get(marked, i - 1)))
 
-    def firsts(sorted_: Column) -> Column:
-        return F.filter(sorted_, lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(sorted_, i - 1))))
+    def shifted(values: Column, by: int) -> Column:
+        return _let(values, lambda v: F.transform(v, lambda x, i: F.coalesce(x, F.get(v, (i + by) % ARCS))))
 
     def filled(first: Column) -> Column:
-        # Arc k takes the first value of an arc not before k, or else the smallest of all.
-        full = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda k: F.coalesce(F.get(F.filter(first, lambda x: _bin(x) >= k), F.lit(0)), F.get(first, F.lit(0))))
-        return F.when(F.size(first) == BINS, first).otherwise(full)
+        # The last arc has nothing after its end if it is empty.
+        known = F.transform(F.slice(F.concat(first, F.array(F.lit(-(1 << 63)))), 1, ARCS), lambda x: F.when(~_mark(x), x))
+        near = shifted(shifted(shifted(known, 1), 2), 4)
+        return _let(near, lambda v: F.when(F.exists(v, lambda x: x.isNull()), shifted(shifted(shifted(v, 8), 16), 32)).otherwise(v))
 
     def bands(values: Column) -> Column:
-        return F.array(*(F.xxhash64(F.lit(j), *(F.get(values, F.lit(j * ROWS + r)) for r in range(ROWS))) for j in range(BANDS)))
+        own = lambda k: F.get(values, F.lit(k)).bitwiseAND(F.lit((1 << VALUE_BITS) - 1))
+        packed = []
+        for j in range(BANDS):
+            band = own(j * ROWS)
+            for r in range(1, ROWS):
+                band = F.shiftleft(band, VALUE_BITS).bitwiseOR(own(j * ROWS + r))
+            packed.append(band)
+        return F.array(*packed)
+
+    return _let(F.sort_array(F.concat(hashes, ends)), lambda m: _let(firsts(m), lambda f: _let(filled(f), bands)))
+
 
-    return _let(hashes, lambda h: _let(firsts(h), lambda f: _let(filled(f), bands)))
+def _agreeing(one: str, other: str) -> Column:
+    """In how many bins two signatures, the columns k0, k1... of two frames, agree."""
+    parts = []
+    for j in range(BANDS):
+        differ = F.col(f"{one}.k{j}").bitwiseXOR(F.col(f"{other}.k{j}"))
+        parts += [(F.shiftright(differ, r * VALUE_BITS).bitwiseAND(F.lit((1 << VALUE_BITS) - 1)) == 0).cast("int") for r in range(ROWS)]
+    return sum(parts[1:], parts[0])
 
 
 def split_lines(documents: DataFrame) -> DataFrame:
@@ -64,6 +98,12 @@ def split_lines(documents: DataFrame) -> DataFrame:
     return rows.withColumn("norm", F.lower(F.trim("line")))
 
 
+def _alike(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) of line ids those whose signatures agree in AGREE bins at least."""
+    pairs = pairs.join(signatures.alias("l"), F.expr("a = l.node")).join(signatures.alias("r"), F.expr("b = r.node"))
+    return pairs.where(_agreeing("l", "r") >= AGREE).select("a", "b")
+
+
 def _confirmed(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """Of the pairs (a, b) of line ids those whose shingle sets have a Jaccard of PER_CENT at least; ``lines``: node, norm.
 
@@ -88,13 +128,15 @@ def line_components(documents: DataFrame) -> DataFrame:
     scratch = Scratch(spark)
     lines = split_lines(documents).withColumn("node", F.xxhash64("norm"))
     part = lines.where("norm <> '' and doc_id is not null")
-    keys = band_keys(F.sort_array(shingles(F.col("norm"))))
+    keys = band_keys(shingles(F.col("norm")))
     # Exploding one struct works the keys out once; ten references to the array would do so ten times.
     one = F.array(F.struct(keys.alias("k")))
     signed = part.select("node", F.length("norm").alias("size"), F.inline(one))
     signed = signed.select("node", "size", *(F.get("k", F.lit(j)).alias(f"k{j}") for j in range(BANDS)))
-    nodes = signed.groupBy("node").agg(F.min("size").alias("size"), *(F.min(f"k{j}").alias(f"k{j}") for j in range(BANDS)))
-    rows = nodes.select("node", "size", F.explode(F.array(*(f"k{j}" for j in range(BANDS)))).alias("key"))
+    nodes = scratch.save(signed.groupBy("node").agg(F.min("size").alias("size"), *(F.min(f"k{j}").alias(f"k{j}") for j in range(BANDS))))
+    scratch.release()
+    rows = nodes.select("node", "size", F.posexplode(F.array(*(f"k{j}" for j in range(BANDS)))).alias("band", "key"))
+    rows = rows.select("node", "size", F.xxhash64("band", "key").alias("key"))
     key = Window.partitionBy("key")
     rows = rows.withColumns({"hub": F.min("node").over(key), "far": F.max("node").over(key)}).where("hub <> far")
     buckets = scratch.save(rows.select("key", "node", "size", "hub"))
@@ -102,7 +144,8 @@ def line_components(documents: DataFrame) -> DataFrame:
     # No line of a length outside this range can be similar enough.
     near = lambda a, b: F.least(a, b) * 100 >= PER_CENT * (F.greatest(a, b) - WIDTH) - 100 * WIDTH
     hub_size = buckets.where("node = hub").select("key", F.col("size").alias("hub_size"))
-    stars = scratch.save(buckets.where("node <> hub").join(hub_size, "key").where(near(F.col("size"), F.col("hub_size"))).select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct())
+    stars = buckets.where("node <> hub").join(hub_size, "key").where(near(F.col("size"), F.col("hub_size"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    stars = scratch.save(_alike(stars.distinct(), nodes))
     wanted = buckets.select("node").distinct()
     texts = part.select("node", "norm").join(wanted, "node", "left_semi").dropDuplicates(["node"])
     texts = scratch.save(texts)
@@ -116,9 +159,9 @@ def line_components(documents: DataFrame) -> DataFrame:
     a, b = rest.alias("x"), rest.alias("y")
     cross = a.join(b, F.expr("x.key = y.key and x.c < y.c")).where(near(F.col("x.size"), F.col("y.size")))
     cross = cross.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    more = _confirmed(cross.join(stars, ["a", "b"], "left_anti"), texts)
+    more = _confirmed(_alike(cross, nodes).join(stars, ["a", "b"], "left_anti"), texts)
     label = connected_components(links.union(more))
-    scratch.drop(buckets, stars, texts, rest)
+    scratch.drop(nodes, buckets, stars, texts, rest)
     scratch.release()
     places = part.select("doc_id", "line_no", "node").join(label, "node", "left").select("doc_id", "line_no", F.coalesce("component", "node").alias("c"))
     first = places.groupBy("c").agg(F.min(F.struct("doc_id", "line_no")).alias("f"), F.count("*").alias("n")).where("n > 1").select("c", "f")
