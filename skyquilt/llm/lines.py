@@ -9,7 +9,7 @@ confirmed by exact Jaccard on all shingles, components found by distributed unio
 component, by doc_id and line number, is kept.
 
 Two lines with a similarity of 0.8 share no bucket with probability 4e-5, and agree in fewer than AGREE bins with
-probability 1e-8. Lines of fewer shingles than arcs repeat values, which makes their bands less independent.
+probability 4e-9. Lines of fewer shingles than arcs repeat values, which makes their bands less independent.
 """
 
 from __future__ import annotations
