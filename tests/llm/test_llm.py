@@ -1,7 +1,9 @@
 import hashlib
 import itertools
 import random
+import textwrap
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -261,6 +263,23 @@ def test_licenses(spark, odd):
     assert out[4] == out[5] == (None, "none", None)
 
 
+def test_licenses_wrapped_whole_and_reserved(spark):
+    full = {x.name.removesuffix(".txt"): x.read_text() for x in Path(licenses.__file__).with_name("license_texts").glob("*.txt")}
+    wrap = lambda text, mark: "\n".join(mark + x for x in textwrap.wrap(text, 66))
+    header = {name: text for name, text in licenses.HEADERS}
+    gpl = wrap("Copyright 2020 A. Person", " * ") + "\n *\n" + wrap(header["GPL-3.0"], " * ")
+    texts = {
+        "gpl.c": ("GPL-3.0", f"/*\n{gpl}\n */\nint x;"), "gpl2.c": ("GPL-2.0", wrap(header["GPL-2.0"].replace("version 2 as", "either version 2 as"), "// ")), "lgpl.py": ("LGPL-2.1", wrap(header["LGPL-2.1"], "# ") + "\nimport os"),
+        "mpl.js": ("MPL-2.0", "/* " + wrap(header["MPL-2.0"], " * ").strip(" *") + " */\nlet x;"), "spdx.rs": ("MIT", "// SPDX-License-Identifier: MIT\nfn main() {}"), "readme.md": ("MIT", "# Title\n\nThis project is licensed under the MIT License.\n"),
+        "bsd2.py": ("BSD-2-Clause", "\n".join(f"# {x}" if x else "#" for x in full["BSD-2-Clause"].split("\n"))), "bsd3.c": ("BSD-3-Clause", "// x\n// Copyright (c) 2001 B\n// All rights reserved.\n//\n" + wrap(licenses.TEMPLATES[2][1] + ":", "// ")),
+        "own.txt": (licenses.RESERVED, "Copyright 2020 Foo Inc. All rights reserved."), "two.txt": (licenses.RESERVED, "some words\nAll rights reserved.\nmore"), "story.txt": (None, "The licence to fish was granted to the old man,\nwho kept his copyright in a drawer."),
+    }
+    texts |= {f"{name}/LICENSE": (name, text) for name, text in full.items()}
+    texts["AGPL/COPYING"] = ("AGPL-3.0", full["GPL-3.0"].replace("GNU GENERAL", "GNU AFFERO GENERAL").replace("29 June", "19 November"))
+    df = spark.createDataFrame([(k, name, text) for k, (name, (_, text)) in enumerate(texts.items())], "file_id long, path string, text string")
+    assert {r["path"]: r["license"] for r in licenses.scan_licenses(df).collect()} == {name: want for name, (want, _) in texts.items()}
+
+
 def test_scratch_reads_the_session(spark):
     s = Scratch(spark)
     t = s.save(spark.range(3))
