@@ -128,10 +128,9 @@ def line_components(documents: DataFrame) -> DataFrame:
     scratch = Scratch(spark)
     lines = split_lines(documents).withColumn("node", F.xxhash64("norm"))
     part = lines.where("norm <> '' and doc_id is not null")
-    keys = band_keys(shingles(F.col("norm")))
     # Exploding one struct works the keys out once; ten references to the array would do so ten times.
-    one = F.array(F.struct(keys.alias("k")))
-    signed = part.select("node", F.length("norm").alias("size"), F.inline(one))
+    one = F.transform(F.array(F.array_distinct(shingles(F.col("norm")))), lambda h: F.struct(F.size(h).alias("size"), band_keys(h).alias("k")))
+    signed = part.select("node", F.inline(one))
     signed = signed.select("node", "size", *(F.get("k", F.lit(j)).alias(f"k{j}") for j in range(BANDS)))
     nodes = scratch.save(signed.groupBy("node").agg(F.min("size").alias("size"), *(F.min(f"k{j}").alias(f"k{j}") for j in range(BANDS))))
     scratch.release()
@@ -141,8 +140,8 @@ def line_components(documents: DataFrame) -> DataFrame:
     rows = rows.withColumns({"hub": F.min("node").over(key), "far": F.max("node").over(key)}).where("hub <> far")
     buckets = scratch.save(rows.select("key", "node", "size", "hub"))
     scratch.release()
-    # No line of a length outside this range can be similar enough.
-    near = lambda a, b: F.least(a, b) * 100 >= PER_CENT * (F.greatest(a, b) - WIDTH) - 100 * WIDTH
+    # ``size`` counts distinct shingles: no Jaccard is above the ratio of two sets' sizes, whatever the lines' lengths.
+    near = lambda a, b: F.least(a, b) * 100 >= F.greatest(a, b) * PER_CENT
     hub_size = buckets.where("node = hub").select("key", F.col("size").alias("hub_size"))
     stars = buckets.where("node <> hub").join(hub_size, "key").where(near(F.col("size"), F.col("hub_size"))).select(F.col("hub").alias("a"), F.col("node").alias("b"))
     stars = scratch.save(_alike(stars.distinct(), nodes))

@@ -196,6 +196,12 @@ def test_lines_against_brute_force(spark):
     assert got == {p for g in groups.values() for p in g if p != min(g)}
 
 
+def test_lines_repetitive_of_differing_length(spark):
+    pairs = [("=" * 40, "=" * 80), ("| --- " * 6, "| --- " * 12), ("buy now! " * 5, "buy now! " * 30)]
+    df = spark.createDataFrame([(k, "\n".join(own)) for k, own in enumerate(zip(*pairs, strict=True))], "doc_id long, text string")
+    assert {(r["doc_id"], r["line_no"]) for r in lines.line_components(df).where("not keep").collect()} == {(1, 0), (1, 1), (1, 2)}
+
+
 def test_lines_odd(spark, odd, none):
     got = {(r["doc_id"], r["text"]) for r in lines.dedup_lines(odd).collect()}
     assert {(1, None), (2, ""), (3, " \n\t"), (None, "no id here at all"), (5, "same text twice")} <= got
