@@ -4,12 +4,13 @@ A line's character shingles are hashed; the circle of hashes is cut into ARCS ar
 hash, an empty arc taking that of the next occupied one. The first BINS of them are the signature, kept in BANDS
 numbers of ROWS bins each, which are the bands' keys as well. Lines that share a key are candidates: first each with
 the smallest line of its bucket, then, in buckets that the confirmed links leave in several components, each with the
-lines of other components. Candidates whose signatures agree in fewer than AGREE bins are left out; the others are
-confirmed by exact Jaccard on all shingles, components found by distributed union-find, and the first line of each
+lines of other components. Candidates whose signatures agree in fewer than AGREE bins are left out, unless one has fewer
+distinct shingles than there are arcs; the others are confirmed by exact Jaccard on all shingles, components found by distributed union-find, and the first line of each
 component, by doc_id and line number, is kept.
 
 Two lines with a similarity of 0.8 share no bucket with probability 4e-5, and agree in fewer than AGREE bins with
-probability 4e-9. Lines of fewer shingles than arcs repeat values, which makes their bands less independent.
+probability 4e-9, for independent bins. Lines of fewer shingles than arcs repeat values, which makes their bins depend on
+one another, so that the second filter isn't applied to them.
 """
 
 from __future__ import annotations
@@ -99,9 +100,10 @@ def split_lines(documents: DataFrame) -> DataFrame:
 
 
 def _alike(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) of line ids those whose signatures agree in AGREE bins at least."""
+    """Of the pairs (a, b) of line ids those whose signatures agree in AGREE bins at least, and those with a line of few shingles."""
     pairs = pairs.join(signatures.alias("l"), F.expr("a = l.node")).join(signatures.alias("r"), F.expr("b = r.node"))
-    return pairs.where(_agreeing("l", "r") >= AGREE).select("a", "b")
+    few = F.least("l.size", "r.size") < ARCS  # their bins depend on one another
+    return pairs.where(few | (_agreeing("l", "r") >= AGREE)).select("a", "b")
 
 
 def _confirmed(pairs: DataFrame, lines: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from skyquilt.llm import chat, licenses, lines, neardup, neighbours, packing, search, tokens, toxicity, warc
 from skyquilt.plans.scratch import Scratch
@@ -202,6 +203,15 @@ def test_lines_repetitive_of_differing_length(spark):
     assert {(r["doc_id"], r["line_no"]) for r in lines.line_components(df).where("not keep").collect()} == {(1, 0), (1, 1), (1, 2)}
 
 
+def test_short_lines_that_share_a_band(spark):
+    r = random.Random(8)
+    long = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=13)) for _ in range(300)]
+    df = spark.createDataFrame([(k, f"{x}\n{x[:-1]}") for k, x in enumerate(long)], "doc_id long, text string")  # 5 shingles and 4
+    keys = spark.createDataFrame([(k, x, x[:-1]) for k, x in enumerate(long)], "k long, x string, y string").select("k", *(lines.band_keys(lines.shingles(F.col(c))).alias(c) for c in "xy"))
+    share = {r["k"] for r in keys.collect() if any(a == b for a, b in zip(r["x"], r["y"], strict=True))}
+    assert {r["doc_id"] for r in lines.line_components(df).where("not keep").collect()} == share and len(share) > 290
+
+
 def test_lines_odd(spark, odd, none):
     got = {(r["doc_id"], r["text"]) for r in lines.dedup_lines(odd).collect()}
     assert {(1, None), (2, ""), (3, " \n\t"), (None, "no id here at all"), (5, "same text twice")} <= got
