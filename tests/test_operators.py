@@ -60,6 +60,31 @@ def test_touching_footprints(spark):
         footprint.require_contiguous(out)
 
 
+@pytest.mark.parametrize(
+    "one,two,meet",
+    [
+        ([(0, 0), (10, 10), (11, 10), (1, 0)], [(2, 0), (12, 10), (13, 10), (3, 0)], False),  # slanted strips, boxes overlap
+        ([(0, 0), (10, 10), (11, 10), (1, 0)], [(0.5, 0), (10.5, 10), (13, 10), (3, 0)], True),
+        ([(0, 0), (9, 9), (10, 9), (1, 0)], [(1, 0), (10, 9), (11, 9), (2, 0)], True),  # a slanted side in common
+        ([(0, 0), (9, 9), (10, 9), (1, 0)], [(10, 9), (9, 10), (10, 11), (11, 10)], False),  # a corner in common
+        ([(0, 0), (9, 9), (10, 9), (1, 0)], [(-0.5, -1), (10, 9), (10, 8), (0.9, -1)], True),
+        ([(0, 4), (4, 0), (0, -4), (1, 0)], [(-1, 1), (0.4, 0.5), (0.4, -0.5), (-1, -1)], False),  # in the notch of the other
+        ([(0, 4), (4, 0), (0, -4), (1, 0)], [(-1, 1), (1.4, 0.5), (1.4, -0.5), (-1, -1)], True),
+        ([(0, 0), (0, 9), (9, 9), (9, 0)], [(4, 4), (4, 5), (5, 5), (5, 4)], True),  # inside
+    ],
+)
+def test_slanted_footprints(spark, one, two, meet):
+    names = [f"{c}_{k}" for c in ("nw", "ne", "se", "sw") for k in ("lon", "lat")]
+    assert [f"{c}_lon" for c in catalog.CORNERS] == names[::2]
+    for turn in range(4):
+        data = [(k, *(float(v) for p in own[turn:] + own[:turn] for v in p)) for k, own in ((1, one), (2, two))]
+        out = footprint.footprint_components(spark.createDataFrame(data, "id long, " + ", ".join(f"{n} double" for n in names)))
+        assert rows(out) == [(1, 1), (2, 1 if meet else 2)]
+    if not meet:
+        with pytest.raises(ValueError, match="contiguous"):
+            footprint.require_contiguous(out)
+
+
 def test_upper_median(spark):
     d = spark.createDataFrame([(0, 1.0), (0, 4.0), (1, 3.0), (1, 1.0), (1, 2.0), (1, None)], "g int, x double")
     assert rows(footprint.upper_median(d, ["g"], "x", "m")) == [(0, 4.0), (1, 2.0)]
