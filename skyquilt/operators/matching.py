@@ -21,12 +21,12 @@ SKIPS = (
 DARK, FINITE, EXTENT_M, SIDE_PX = 5.0, 0.5, 50_000.0, 32_760
 
 
-def two_nearest(queries: DataFrame, train: DataFrame, block: int = 256) -> DataFrame:
+def two_nearest(queries: DataFrame, train: DataFrame, block: int = 256, same: bool = False) -> DataFrame:
     """query_id, train_id, d1 and d2: the nearest descriptor of ``train`` for each query and both squared distances.
 
     Each task compares its descriptors of ``train`` with blocks of queries and keeps two per query; ties go
-    to the smaller id. Both have id and vec. The queries are a stated set, dealt to blocks that meet every
-    part of ``train`` once.
+    to the smaller id. Both have id and vec; if ids are of the ``same`` rows in both, a query isn't its own neighbour.
+    The queries are a stated set, dealt to blocks that meet every part of ``train`` once.
     """
     parts = max(1, train.rdd.getNumPartitions())
     left = queries.select(F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"), F.col("id").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
@@ -40,9 +40,9 @@ def two_nearest(queries: DataFrame, train: DataFrame, block: int = 256) -> DataF
             for at in range(0, len(q), block):
                 own = q.iloc[at : at + block]
                 y = np.stack(own["vec"].to_numpy())
-                d = np.stack([((x - v) ** 2).sum(1) for v in y])
+                d = np.stack([np.where(same & (ids == i), np.inf, ((x - v) ** 2).sum(1)) for i, v in zip(own["id"], y, strict=True)])
                 best = np.argsort(d, axis=1, kind="stable")[:, :2]
-                out += [(i, ids[k], v[k]) for i, v, b in zip(own["id"], d, best, strict=True) for k in b]
+                out += [(i, ids[k], v[k]) for i, v, b in zip(own["id"], d, best, strict=True) for k in b if not (same and ids[k] == i)]
         return pd.DataFrame(out, columns=["query_id", "train_id", "d"]).astype({"query_id": "int64", "train_id": "int64", "d": "float64"})
 
     near = left.groupBy("part").cogroup(right.groupBy("part")).applyInPandas(compare, "query_id long, train_id long, d double")

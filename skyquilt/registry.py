@@ -219,6 +219,17 @@ def knn_ratio(spark, sf_dir):
     return near.withColumns({c: F.round(c, 6) for c in ("d1", "d2")})
 
 
+@query("""WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+d AS (SELECT a.vec_id AS query_id, b.vec_id AS train_id, list_sum(list_transform(list_zip(a.v, b.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(d, 9), train_id) AS k, lead(d) OVER (PARTITION BY query_id ORDER BY round(d, 9), train_id) AS d2 FROM d)
+SELECT query_id, train_id, round(d, 6) AS d1, round(d2, 6) AS d2 FROM r WHERE k = 1 AND sqrt(d) < 0.95 * sqrt(d2)""")
+def knn_ratio_share(spark, sf_dir):
+    """The stated search set, a share of the table, against every other row."""
+    e = load(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    near = matching.ratio_test(matching.two_nearest(e.where("id % 100 = 0"), e, same=True), 0.95)
+    return near.withColumns({c: F.round(c, 6) for c in ("d1", "d2")})
+
+
 _NORM = "sqrt(list_sum(list_transform({}, lambda x: x * x)))"
 
 

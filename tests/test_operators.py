@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from skyquilt import registry
 from skyquilt.functions import geodesy, numeric
 from skyquilt.operators import cameras, catalog, export, footprint, gcp, matching, raster, strips, tiles
 from skyquilt.operators.components import connected_components
@@ -168,6 +169,23 @@ def test_homography_and_statuses(spark):
         matching.match_tiles(spark.range(0), "none")
 
 
+def test_knn_ratio_share_against_brute_force(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(700, 8)).astype(np.float32)
+    v[100] = v[3] + 0.01  # the nearest of a query is among the first ids
+    v[400] = v[500] + 0.02  # and is a query itself
+    spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(v)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    want = {}
+    for q in range(0, 700, 100):
+        d = ((v.astype(float) - v[q].astype(float)) ** 2).sum(1)
+        d[q] = np.inf
+        one, two = np.argsort(d, kind="stable")[:2]
+        if np.sqrt(d[one]) < 0.95 * np.sqrt(d[two]):
+            want[q] = (one, pytest.approx(d[one], abs=1e-5), pytest.approx(d[two], abs=1e-5))
+    got = {r["query_id"]: (r["train_id"], r["d1"], r["d2"]) for r in registry.QUERIES["knn_ratio_share"](spark, str(tmp_path)).collect()}
+    assert got == want and got[100][0] == 3 and got[400][0] == 500 and got[500][0] == 400
+
+
 def test_camera_model_round_trip(spark):
     cam = matching.AffineCamera([[2, 0, 0.1], [0, 1.5, -0.2]], [3, 4])
     pts = spark.createDataFrame([(1.0, 2.0, 50.0), (3.0, 4.0, None)], "x double, y double, h double")
