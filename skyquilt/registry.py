@@ -169,7 +169,12 @@ e_{axis} AS (SELECT greatest(a + 1, 0) AS lo, least(b - 1, hi) AS hi FROM r_{axi
 
 @query(f"{_IN_GRID}, {_runs('row')}, {_runs('col')} SELECT 0 AS raster_id, e_row.lo AS row0, e_row.hi AS row1, e_col.lo AS col0, e_col.hi AS col1 FROM e_row, e_col WHERE e_row.lo < e_row.hi AND e_col.lo < e_col.hi")
 def crop_window(spark, sf_dir):
-    return raster.crop_windows(_grid(spark, sf_dir), 60.0, 0.5, 1)
+    return raster.crop_windows(_grid(spark, sf_dir), 60.0, 0.5, 1, 1, refine=False)
+
+
+@query()
+def crop_window_refined(spark, sf_dir):
+    return raster.crop_windows(_grid(spark, sf_dir), 5.0, 0.5, 1, 3)
 
 
 @query(f"""{_IN_GRID}, p AS (SELECT quantile_cont(value, 0.01) AS lo, quantile_cont(value, 0.99) AS hi FROM g)

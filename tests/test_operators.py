@@ -124,6 +124,40 @@ def test_longest_run_first_of_equal(spark):
         raster.require_run(runs, p, "k").collect()
 
 
+@pytest.mark.parametrize("factor", [1, 4])
+def test_crop_windows_refined_against_brute_force(spark, factor):
+    rng = np.random.default_rng(9)
+    a = np.where(rng.random((160, 200)) < 0.02, 90.0, 5.0)  # specks that the opening takes away
+    a[42:133, 30:171] = 90.0
+    a[8:20, 20:180] = 90.0
+    a[42:60, :] = 90.0  # makes the outer columns no denser than the middle
+    a[120:133, 30:45] = 5.0
+    h, w = a.shape
+
+    def opened(x):
+        for f in (np.min, np.max):
+            for axis in (0, 1):
+                pad = np.pad(x, [(1, 1) if k == axis else (0, 0) for k in (0, 1)], constant_values=np.inf if f is np.min else -np.inf)
+                x = f(np.stack([np.take(pad, range(k, k + x.shape[axis]), axis) for k in range(3)]), 0)
+        return x
+
+    def good(x, axis):
+        return np.flatnonzero((opened(x) > 30).mean(1 - axis) >= 0.5)
+
+    coarse = a.reshape(h // factor, factor, w // factor, factor).mean((1, 3))
+    want = []
+    for axis, n, m in ((0, h, w), (1, w, h)):
+        run = max(np.split(i := good(coarse, axis), np.flatnonzero(np.diff(i) > 1) + 1), key=len)
+        for end, at in ((0, run[0] * factor), (1, (run[-1] + 1) * factor)):
+            own, rest = slice(max(0, at - 32), min(n, at + 32)), slice(int(m * 0.15), int(m * 0.85))
+            i = good(a[own, rest] if axis == 0 else a[rest, own], axis)
+            edge = own.start + (i[-1] + 1 if end else i[0]) if len(i) else at
+            want.append(edge - 2 if end else edge + 2)
+    cells = spark.createDataFrame([(0, r, c, float(v)) for (r, c), v in np.ndenumerate(a)], "raster_id int, row long, col long, value double")
+    assert rows(raster.crop_windows(cells, 30.0, 0.5, 2, 3, factor=factor)) == [(0, *want)]
+    assert rows(raster.crop_windows(cells, 30.0, 0.5, 2, 3, factor=factor, refine=False)) != [(0, *want)]
+
+
 def test_samplers(spark):
     cells = spark.createDataFrame([(0, r, c, float("nan") if (r, c) == (2, 2) else 10.0 * r + c) for r in range(3) for c in range(3)], "raster_id int, row long, col long, value double")
     size = spark.createDataFrame([(0, 3, 3)], "raster_id int, height int, width int")
