@@ -14,39 +14,68 @@ from skyquilt.operators.catalog import resolve_columns
 _RINGS = "array<array<array<double>>>"
 
 
-def read_wkb(raw: bytes | None) -> list | None:
-    """The rings of a WKB polygon; null for anything else, and for rings that are open or have no area."""
-    try:
-        order = "<" if raw[0] == 1 else ">"
-        kind, n = struct.unpack_from(f"{order}II", raw, 1)
-        at, rings = 9, []
-        if kind != 3 or not n:
-            return None
+def _polygon(raw: bytes, at: int) -> tuple[int, list | None, int]:
+    """Of the WKB geometry at a place its kind, its rings or polygons (null if it isn't sound) and the place after it."""
+    order = "<" if raw[at] == 1 else ">"
+    (code,) = struct.unpack_from(f"{order}I", raw, at + 1)
+    at += 5 + 4 * bool(code & 0x20000000)  # an EWKB number of a reference system
+    form, kind = divmod(code & 0x0FFFFFFF, 1000)
+    z, m = bool(code & 0x80000000) or form in (1, 3), bool(code & 0x40000000) or form in (2, 3)
+    (n,) = struct.unpack_from(f"{order}I", raw, at)
+    at, own, sound = at + 4, [], kind in (3, 6) and n > 0
+    if kind == 6:
         for _ in range(n):
-            (m,) = struct.unpack_from(f"{order}I", raw, at)
-            flat = struct.unpack_from(f"{order}{2 * m}d", raw, at + 4)
-            at += 4 + 16 * m
-            ring = [list(flat[i : i + 2]) for i in range(0, 2 * m, 2)]
+            inner, part, at = _polygon(raw, at)
+            sound = sound and inner == 3 and part is not None
+            own.append(part)
+    elif kind == 3:
+        size = 2 + z + m
+        for _ in range(n):
+            (k,) = struct.unpack_from(f"{order}I", raw, at)
+            flat = struct.unpack_from(f"{order}{size * k}d", raw, at + 4)
+            at += 4 + 8 * size * k
+            ring = [list(flat[i : i + 2 + z]) for i in range(0, size * k, size)]
             area = sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:]))
-            if m < 4 or ring[0] != ring[-1] or not area or area != area:
-                return None
-            rings.append(ring)
-        return rings
+            sound = sound and k >= 4 and ring[0] == ring[-1] and bool(area) and area == area
+            own.append(ring)
+    return kind, own if sound else None, at
+
+
+def read_geometry(raw: bytes | None) -> tuple[str, list] | None:
+    """The type and the polygons of a WKB polygon or multipolygon, with heights if it has them; null for anything else.
+
+    Null also for rings that are open or have no area; measures are left out.
+    """
+    try:
+        kind, own, _ = _polygon(raw, 0)
     except (TypeError, IndexError, struct.error):
         return None
+    return None if own is None else ("Polygon", [own]) if kind == 3 else ("MultiPolygon", own)
+
+
+def read_wkb(raw: bytes | None) -> list | None:
+    """The rings of a WKB polygon; null for anything else, and for rings that are open or have no area."""
+    found = read_geometry(raw)
+    return found[1][0] if found and found[0] == "Polygon" else None
 
 
 def write_wkb(ring: list[tuple[float, float]]) -> bytes:
     return struct.pack("<BIII", 1, 3, 1, len(ring)) + b"".join(struct.pack("<2d", *p) for p in ring)
 
 
-def wkb_rings(column: str) -> Column:
-    """The rings of a column of WKB polygons, in Arrow batches."""
+def wkb_polygons(column: str) -> Column:
+    """The type and the polygons of a column of WKB polygons and multipolygons, in Arrow batches."""
+
+    def polygons(raw: pd.Series) -> pd.DataFrame:
+        found = [read_geometry(None if x is None else bytes(x)) or (None, None) for x in raw]
+        return pd.DataFrame(found, columns=["type", "polygons"])
 
-    def rings(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda x: read_wkb(None if x is None else bytes(x)))
+    return F.pandas_udf(polygons, f"type string, polygons array<{_RINGS}>")(column)
 
-    return F.pandas_udf(rings, _RINGS)(column)
+
+def skipped_geometries(df: DataFrame) -> DataFrame:
+    """rows and skipped: how many rows have a geometry that ``geojson_rows`` doesn't export."""
+    return df.select(wkb_polygons("geometry").alias("_g")).agg(F.count("*").alias("rows"), F.count_if(F.col("_g.type").isNull()).alias("skipped"))
 
 
 def property_value(name: str, kind: T.DataType) -> Column:
@@ -71,14 +100,22 @@ def with_properties(df: DataFrame) -> DataFrame:
 
 
 def geojson_rows(df: DataFrame) -> DataFrame:
-    """One GeoJSON feature per row with a valid polygon; a row's missing properties are left out."""
+    """One GeoJSON feature per row with a valid polygon or multipolygon; a row's missing properties are left out.
+
+    ``skipped_geometries`` counts the rows that are left out.
+    """
     if "geometry" not in df.columns:
         raise ValueError("no column geometry")
     rows = with_properties(df)
     names = [c for c in rows.columns if c != "geometry"]
-    rows = rows.withColumn("_rings", wkb_rings("geometry")).where("_rings is not null")
-    shape = F.struct(F.lit("Polygon").alias("type"), F.col("_rings").alias("coordinates"))
-    return rows.select(F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(*names).alias("properties"))).alias("value"))
+    rows = rows.withColumn("_g", wkb_polygons("geometry")).where("_g.type is not null")
+
+    def feature(coordinates: Column) -> Column:
+        shape = F.struct(F.col("_g.type").alias("type"), coordinates.alias("coordinates"))
+        return F.to_json(F.struct(F.lit("Feature").alias("type"), shape.alias("geometry"), F.struct(*names).alias("properties")))
+
+    many = F.col("_g.type") == "MultiPolygon"
+    return rows.select(F.when(many, feature(F.col("_g.polygons"))).otherwise(feature(F.get("_g.polygons", F.lit(0)))).alias("value"))
 
 
 def map_filter(mission: str | None = None, camera: str | None = None, since: str | None = None, until: str | None = None) -> Column | None:

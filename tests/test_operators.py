@@ -1,4 +1,6 @@
+import json
 import math
+import struct
 
 import numpy as np
 import pytest
@@ -268,6 +270,21 @@ def test_wkb_and_geojson(spark):
     assert export.map_filter() is None
 
 
+def test_geojson_of_multipolygons_and_heights(spark):
+    flat = export.write_wkb([(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 0.0)])
+    points = [(0.0, 0.0, 5.0), (1.0, 0.0, 6.0), (1.0, 1.0, 7.0), (0.0, 0.0, 5.0)]
+    high = [struct.pack(f"{o}BII", int(o == "<"), code, 1) + struct.pack(f"{o}I", 4) + b"".join(struct.pack(f"{o}3d", *p) for p in points) for o in "<>" for code in (1003, 0x80000003)]
+    many = struct.pack("<BII", 1, 6, 2) + flat + flat
+    srid = struct.pack("<BIII", 1, 0x20000003, 4326, 1) + flat[9:]
+    point = struct.pack("<BI2d", 1, 1, 0.0, 0.0)
+    data = [(str(k), x) for k, x in enumerate([flat, *high, many, srid, struct.pack("<BII", 1, 6, 0), many[:50], point])]
+    df = spark.createDataFrame(data, "`Entity ID` string, geometry binary")
+    got = {x["properties"]["entity_id"]: (x["geometry"]["type"], x["geometry"]["coordinates"]) for x in (json.loads(r["value"]) for r in export.geojson_rows(df).collect())}
+    ring, tall = [[0, 0], [1, 0], [1, 1], [0, 0]], [list(p) for p in points]
+    assert got == {"0": ("Polygon", [ring]), **{str(k): ("Polygon", [tall]) for k in range(1, 5)}, "5": ("MultiPolygon", [[ring], [ring]]), "6": ("Polygon", [ring])}
+    assert tuple(export.skipped_geometries(df).first()) == (10, 3)
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "s").mkdir()
     (tmp_path / "s/stats.csv").write_text("# c\n\n/a/b.tif, 1, 2, 3\nx,1,2\ny,nan,2,3\nz,q,2,3\n")
