@@ -166,24 +166,13 @@ def test_window_is_fullest():
         assert sum(k * n for k, n in own.items()) == best
 
 
-def test_lines_against_brute_force(spark):
-    r, v, rows = random.Random(5), vocabulary(5), []
-    pool = [" ".join(r.choices(v, k=r.randint(1, 40))) for _ in range(60)]
-    for d in range(60):
-        own = []
-        for x in r.choices(pool, k=6):
-            w = x.split()
-            if r.random() < 0.5:
-                w[r.randrange(len(w))] = r.choice(v)
-            own.append(" ".join(w))
-        rows.append((d, "\n".join([*own, "", "  "])))
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {(x["doc_id"], x["line_no"]) for x in lines.line_components(df).where("not keep").collect()}
+def line_groups(rows):
+    """Brute force: (doc_id, line_no) of all lines that aren't kept."""
     spots: dict[str, list] = {}
     for d, t in rows:
         for k, x in enumerate(t.split("\n")):
-            if x.strip():
-                spots.setdefault(x.strip().lower(), []).append((d, k))
+            if x.strip(" "):
+                spots.setdefault(x.strip(" ").lower(), []).append((d, k))
     keys = list(spots)
     sets = [{x[j : j + lines.WIDTH] for j in range(max(1, len(x) - lines.WIDTH + 1))} for x in keys]
     up = list(range(len(keys)))
@@ -194,22 +183,57 @@ def test_lines_against_brute_force(spark):
     groups: dict[int, list] = {}
     for u, k in zip(up, keys, strict=True):
         groups.setdefault(u, []).extend(spots[k])
-    assert got == {p for g in groups.values() for p in g if p != min(g)}
+    return {p for g in groups.values() for p in g if p != min(g)}
+
+
+def not_kept(df):
+    return {(x["doc_id"], x["line_no"]) for x in lines.line_report(df).where("not keep").collect()}
+
+
+def test_lines_against_brute_force(spark):
+    r, v, rows = random.Random(5), vocabulary(5), []
+    pool = [" ".join(r.choices(v, k=r.randint(1, 40))) for _ in range(60)]
+    for d in range(60):
+        own = []
+        for x in r.choices(pool, k=6):
+            w = x.split()
+            if r.random() < 0.5:
+                w[r.randrange(len(w))] = r.choice(v)
+            own.append(" ".join(w))
+        rows.append((d, "\n".join([*own, "", "  ", "-" * (10 + d), "ab" * (9 + 7 * d)])))
+    assert not_kept(spark.createDataFrame(rows, "doc_id long, text string")) == line_groups(rows)
+
+
+def test_lines_that_share_a_passage(spark, monkeypatch):
+    monkeypatch.setattr(lines, "BLOCK", 7)
+    monkeypatch.setattr(lines, "BROADCAST_ROWS", 10)
+    r, v = random.Random(9), vocabulary(9, 2000)
+    passage = r.choices(v, k=60)
+    rows = [(d, " ".join([*r.choices(v, k=d % 13), *passage, *r.choices(v, k=d % 5)])) for d in range(120)]
+    assert not_kept(spark.createDataFrame(rows, "doc_id long, text string")) == line_groups(rows)
 
 
 def test_lines_repetitive_of_differing_length(spark):
-    pairs = [("=" * 40, "=" * 80), ("| --- " * 6, "| --- " * 12), ("buy now! " * 5, "buy now! " * 30)]
+    pairs = [("=" * 40, "=" * 80), ("| --- " * 6, "| --- " * 12), ("buy now! " * 5, "buy now! " * 30), ("-" * 20, "-" * 100), ("ab" * 30, "ab" * 200)]
     df = spark.createDataFrame([(k, "\n".join(own)) for k, own in enumerate(zip(*pairs, strict=True))], "doc_id long, text string")
-    assert {(r["doc_id"], r["line_no"]) for r in lines.line_components(df).where("not keep").collect()} == {(1, 0), (1, 1), (1, 2)}
+    assert not_kept(df) == {(1, k) for k in range(len(pairs))}
 
 
-def test_short_lines_that_share_a_band(spark):
+def test_short_lines_are_never_missed(spark):
     r = random.Random(8)
-    long = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=13)) for _ in range(300)]
-    df = spark.createDataFrame([(k, f"{x}\n{x[:-1]}") for k, x in enumerate(long)], "doc_id long, text string")  # 5 shingles and 4
-    keys = spark.createDataFrame([(k, x, x[:-1]) for k, x in enumerate(long)], "k long, x string, y string").select("k", *(lines.band_keys(lines.shingles(F.col(c))).alias(c) for c in "xy"))
-    share = {r["k"] for r in keys.collect() if any(a == b for a, b in zip(r["x"], r["y"], strict=True))}
-    assert {r["doc_id"] for r in lines.line_components(df).where("not keep").collect()} == share and len(share) > 290
+    own = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=13 + k % 8)) for k in range(600)]
+    df = spark.createDataFrame([(k, f"{x}\n{x[:-1]}") for k, x in enumerate(own)], "doc_id long, text string")  # n shingles and n - 1
+    assert not_kept(df) == {(k, 1) for k in range(600)}
+
+
+def test_lines_recall_at_the_threshold(spark):
+    r, rows = random.Random(10), []
+    for k in range(600):  # k % 3: 20, 50 and 100 shingles together, of which four fifths are common
+        n = (20, 50, 100)[k % 3]
+        x = "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=n + 8))
+        rows.append((k, f"{x[: -n // 5]}\n{x}"))
+    found = not_kept(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert found <= {(k, 1) for k in range(600)} and all(sum((k, 1) in found for k in range(j, 600, 3)) >= 190 for j in range(3))
 
 
 def test_lines_odd(spark, odd, none):
@@ -218,6 +242,15 @@ def test_lines_odd(spark, odd, none):
     assert lines.dedup_lines(odd).columns == odd.columns and lines.dedup_lines(none).count() == 0
 
 
+def test_lines_repeated_ids_and_clashing_names(spark):
+    rows = [(1, "first line of all\nof doc one", 7, "a"), (2, "of doc two\nfirst line of all", 8, "b"), (2, "first line of all\nanother text under an id", 9, "c"), (2, "a unique text", 9, "c"), (3, "first line of all\n \nof doc two", 1, "d"), (4, " \n", 2, "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _GONE long, `_left.x` string").withColumns({"_doc": F.lit(1), "_row": F.lit(2), "_left": F.lit(3)})
+    got = sorted((x["doc_id"], x["text"], x["_GONE"]) for x in lines.dedup_lines(df).collect())
+    assert got == [(1, rows[0][1], 7), (2, "a unique text", 9), (2, "another text under an id", 9), (2, "of doc two", 8), (3, " ", 1), (4, " \n", 2)]
+    assert lines.dedup_lines(df).columns == df.columns
+    assert sorted(x["doc_id"] for x in lines.dedup_lines(df, drop_emptied=True).collect()) == [1, 2, 2, 2, 4]
+
+
 def test_toxicity_held_out_and_odd(spark, odd, none):
     r, v = random.Random(6), vocabulary(6)
     docs = [(i, " ".join(r.choices(v, k=30) + (["zzbad", "qqworse"][i % 2 : i % 2 + 1] if i % 5 == 0 else []))) for i in range(400)]
