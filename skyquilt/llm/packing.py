@@ -4,8 +4,10 @@ Documents are cut into full windows and one remainder each. How many remainders
 a table of at most ``capacity`` rows; from it the driver fills window after window: the longest remainder
 left goes in, and a subset-sum over the other lengths, held as bitsets, finds the multiset that comes closest
 to the capacity, its counts read off by going back through the bitsets. A window's multiset is repeated as
-often as the counts allow, so the plan has about as many lines as there are lengths, whatever the corpus
-holds. Pieces find their place by their rank among those of their length.
+often as the counts allow, after which some length has fewer pieces left than the multiset has of it, at most
+capacity / length: so there are at most as many multisets as the sum of 1 + capacity / length over all lengths,
+under 18,000 for 2048, of at most 63 lengths each, whatever the corpus holds. Pieces find their place by their rank
+among those of their length.
 """
 
 from __future__ import annotations

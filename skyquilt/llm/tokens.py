@@ -140,17 +140,26 @@ def decode_ids(encoded: DataFrame, model: str) -> DataFrame:
     return encoded.selectExpr("cast(doc_id as long) as doc_id", "ids").mapInArrow(run, "doc_id long, text string")
 
 
-#: Python's str.split() also splits at these, which the tokenizer takes for ordinary characters.
-_NOT_SPACE = re.compile("[\x1c-\x1f]")
 END = 1
-
-
+#: Python's str.split() also splits at these, which the tokenizer takes for ordinary characters.
+_NOT_SPACE = "\x1c\x1d\x1e\x1f"
 #: Stands between words that are looked up together; words that hold it are looked up alone.
 _BETWEEN = "\u2605"
+#: How the tokenizer cuts lower-case text into units, for characters up to U+024F, where its classes of letters
+#: and numbers are those below; and what begins its special tokens.
+_LETTERS, _NUMBERS, _SPACES = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u024f", "0-9\xb2\xb3\xb9\xbc-\xbe", " \t-\r\x85\xa0"
+_UNITS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
+_BEYOND = re.compile("[^\\x00-\u024f]")
+_SPECIAL = "<|"
 
 
 class WordTable:
-    """Little-endian 32-bit ids of a whole text, for a tokenizers file whose pieces never cross white space."""
+    """Little-endian 32-bit ids of a whole text, for a tokenizers file that cuts text into units which no piece crosses.
+
+    A text of characters up to U+024F is cut into units as the tokenizer does, lower-cased, and each distinct unit is segmented
+    once: those of letters many in one text, of which the pieces that end a word tell the units apart. Other texts are cut at
+    white space, and each distinct word is segmented once.
+    """
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -160,31 +169,62 @@ class WordTable:
         self.between = self.ids(_BETWEEN)
         if len(self.between) != 1 or self.ids("x y  z").tolist() != [k for x in "xyz" for k in self.ids(x)]:
             raise ValueError("pieces of this tokenizer cross white space")
-        self.known: dict[str, bytes] = {}
+        pieces = self.library.get_vocab()
+        self.ends = np.zeros(max(pieces.values()) + 1, bool)
+        self.ends[[k for x, k in pieces.items() if x.endswith("</w>")]] = True
+        self.units: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        probe = "It's a1 D\xdcNE\xdf.\xa0x!'s don't ?!\xbd\x1cb\u01c5 we'll 12"
+        if list(self.encode([probe]))[0] != self.ids(probe).tobytes():
+            raise ValueError("this tokenizer cuts text in another way")
 
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, new: list[str]) -> None:
-        one, odd = [x for x in new if _BETWEEN not in x], [x for x in new if _BETWEEN in x]
+    def _parted(self, words: list[str], ids: np.ndarray, cuts: np.ndarray, skip: int) -> dict[str, bytes]:
+        """Each word's ids, between ``cuts``, of which each but the first is preceded by ``skip`` ids that aren't a word's."""
+        if len(cuts) != len(words) + 1:
+            raise ValueError("words and ids differ")
+        raw, cuts = ids.tobytes(), (4 * cuts).tolist()
+        return {w: raw[x : y - 4 * skip] for w, x, y in zip(words, cuts, cuts[1:])}
+
+    def _alone(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words, segmented in one text with a sign between them."""
+        one, odd = [x for x in words if _BETWEEN not in x], [x for x in words if _BETWEEN in x]
+        out = {x: self.ids(x).tobytes() for x in odd}
         if one:
-            ids = self.ids(f" {_BETWEEN} ".join(one))
-            raw, cuts = ids.tobytes(), [-4, *(np.flatnonzero(ids == self.between[0]) * 4).tolist(), ids.nbytes]
-            if len(cuts) != len(one) + 1:
-                raise ValueError("words and ids differ")
-            self.known.update((w, raw[x + 4 : y]) for w, x, y in zip(one, cuts, cuts[1:]))
-        self.known.update((x, self.ids(x).tobytes()) for x in odd)
+            ids = self.ids(f" {_BETWEEN} ".join([*one, ""]))
+            out |= self._parted(one, ids, np.append(0, np.flatnonzero(ids == self.between[0]) + 1), 1)
+        return out
+
+    def _learn_units(self, new: list[str]) -> None:
+        letters = list(filter(str.isalpha, new))
+        if letters:
+            ids = self.ids(" ".join(letters))
+            self.units |= self._parted(letters, ids, np.append(0, np.flatnonzero(self.ends[ids]) + 1), 0)
+        self.units |= self._alone([x for x in new if not x.isalpha()])
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), SLICE):
-            part = texts[at : at + SLICE]
-            own = [None if _NOT_SPACE.search(x) else x.split() for x in part]
-            if len(self.known) > TABLE_ENTRIES:
-                self.known = {}
-            if new := list(set(chain.from_iterable(x for x in own if x)).difference(self.known)):
-                self._learn(new)
-            for text, words in zip(part, own, strict=True):
-                yield self.ids(text).tobytes() if words is None else b"".join(map(self.known.__getitem__, words))
+            plain, own = [], []
+            for text in texts[at : at + SLICE]:
+                low = text.lower()
+                plain.append(not _BEYOND.search(low) and _SPECIAL not in low)
+                if plain[-1]:
+                    own.append(_UNITS.findall(low))
+                else:
+                    own.append(None if any(x in text for x in _NOT_SPACE) else text.split())
+            if len(self.units) > TABLE_ENTRIES:
+                self.units = {}
+            if len(self.words) > TABLE_ENTRIES:
+                self.words = {}
+            if new := list(set().union(*(x for x, p in zip(own, plain, strict=True) if p)).difference(self.units)):
+                self._learn_units(new)
+            if new := list(set().union(*(x for x, p in zip(own, plain, strict=True) if x and not p)).difference(self.words)):
+                self.words |= self._alone(new)
+            for text, parts, p in zip(texts[at : at + SLICE], own, plain, strict=True):
+                table = self.units if p else self.words
+                yield self.ids(text).tobytes() if parts is None else b"".join(map(table.__getitem__, parts))
 
 
 @lru_cache(maxsize=1)
