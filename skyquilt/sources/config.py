@@ -26,8 +26,11 @@ class Config:
     s2_phases: tuple[int, ...] = tuple(range(1, 18))
 
 
-def load_config(path: str | None = None, default: str = "config/config.yaml", variable: str = "SKYQUILT_CONFIG") -> Config:
-    """The argument, else the environment's file, else the default. Exactly one of subdir and entity_ids is set; paths are relative to the file."""
+def load_config(path: str | None = None, default: str = "config/config.yaml", variable: str = "SKYQUILT_CONFIG", root: str = ".") -> Config:
+    """The argument, else the environment's file, else the default. Exactly one of subdir and entity_ids is set.
+
+    Paths are relative to the file, but a catalogue's that begins with ./ is relative to ``root``.
+    """
     import yaml
 
     at = Path(path or os.environ.get(variable) or default)
@@ -37,5 +40,6 @@ def load_config(path: str | None = None, default: str = "config/config.yaml", va
     if bool(raw.get("subdir")) == bool(raw.get("entity_ids")):
         raise ValueError("set exactly one of subdir and entity_ids")
     known = {k: raw[k] for k in ("subdir", "pad_deg", "reuse_crops") if k in raw} | {k: tuple(raw[k]) for k in ("entity_ids", "s1_phases", "s2_phases") if raw.get(k)}
-    place = lambda x: x if "://" in x else str((at.parent / x).resolve())
-    return Config(catalog=place(raw["catalog"]), working_dir=place(raw["working_dir"]), compute=Compute(**(raw.get("compute") or {})), **known)
+    place = lambda x, base=at.parent: x if "://" in x else str((base / x).resolve())
+    home = Path(root) if str(raw["catalog"]).startswith("./") else at.parent
+    return Config(catalog=place(raw["catalog"], home), working_dir=place(raw["working_dir"]), compute=Compute(**(raw.get("compute") or {})), **known)
