@@ -39,12 +39,18 @@ _IN_CATALOG = f"WITH c AS ({CATALOG}), p AS (SELECT *, regexp_extract(entity_id,
 _IN_GRID = f"WITH g AS ({grid('duckdb')})"
 
 
-@query(f"""{_IN_CATALOG}
+_RING = ("nw", "ne", "se", "sw", "nw")
+_TURNS = [f"({a}_lon * {b}_lat - {b}_lon * {a}_lat)" for a, b in zip(_RING, _RING[1:], strict=False)]
+#: The longitude of the area-weighted centroid of the corners' quadrilateral.
+_CENTROID = f"({' + '.join(f'({a}_lon + {b}_lon) * {t}' for a, b, t in zip(_RING, _RING[1:], _TURNS, strict=False))}) / (3 * ({' + '.join(_TURNS)}))"
+
+
+@query(f"""{_IN_CATALOG}, x AS (SELECT *, {_CENTROID} AS x FROM p)
 SELECT strip_id, max(entity_id) FILTER (k = 'F') AS fwd, max(entity_id) FILTER (k = 'A') AS aft, count(*) FILTER (k = 'T') AS n_extras,
-  min(least(nw_lon, ne_lon, se_lon, sw_lon)) FILTER (k <> 'T') AS min_lon, min(least(nw_lat, ne_lat, se_lat, sw_lat)) FILTER (k <> 'T') AS min_lat,
-  max(greatest(nw_lon, ne_lon, se_lon, sw_lon)) FILTER (k <> 'T') AS max_lon, max(greatest(nw_lat, ne_lat, se_lat, sw_lat)) FILTER (k <> 'T') AS max_lat,
-  cast(floor(((min(least(nw_lon, sw_lon)) FILTER (k <> 'T') + max(greatest(ne_lon, se_lon)) FILTER (k <> 'T')) / 2 + 180) / 6) + 1 AS integer) AS utm_zone
-FROM p GROUP BY strip_id HAVING fwd IS NOT NULL AND aft IS NOT NULL""")
+  min(least(nw_lon, ne_lon, se_lon, sw_lon)) AS min_lon, min(least(nw_lat, ne_lat, se_lat, sw_lat)) AS min_lat,
+  max(greatest(nw_lon, ne_lon, se_lon, sw_lon)) AS max_lon, max(greatest(nw_lat, ne_lat, se_lat, sw_lat)) AS max_lat,
+  cast(floor((list_sort(list(x))[count(*) // 2 + 1] + 180) / 6) + 1 AS integer) AS utm_zone
+FROM x GROUP BY strip_id HAVING fwd IS NOT NULL AND aft IS NOT NULL""")
 def strip_manifest(spark, sf_dir):
     return strips.strip_manifest(_catalog(spark, sf_dir))
 
@@ -77,10 +83,10 @@ def upper_median_by_group(spark, sf_dir):
 
 
 @query("""SELECT o_orderkey, o_orderstatus AS mission, o_orderpriority AS camera, strftime(o_orderdate, '%Y-%m-%d') AS acq_date FROM orders
-WHERE o_orderstatus = 'F' AND o_orderdate >= timestamp '1993-01-01 00:00:00' AND o_orderdate < timestamp '1995-01-01 00:00:00'""")
+WHERE o_orderstatus = 'F' AND o_orderdate >= timestamp '1996-01-01 00:00:00' AND o_orderdate < timestamp '1999-01-01 00:00:00'""")
 def map_filter(spark, sf_dir):
     rows = load(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderstatus").alias("mission"), F.col("o_orderpriority").alias("camera"), F.to_date("o_orderdate").alias("acq_date"))
-    shown = export.map_filter(mission="F", since="1993-01-01", until="1994-12-31")
+    shown = export.map_filter(mission="F", since="1996-01-01", until="1998-12-31")
     return rows.where(shown).withColumn("acq_date", F.date_format("acq_date", "yyyy-MM-dd"))
 
 
@@ -162,14 +168,14 @@ def density_profile(spark, sf_dir):
 
 
 def _runs(axis: str) -> str:
-    return f"""d_{axis} AS (SELECT {axis} AS i, avg(CASE WHEN value > 60 THEN 1.0e0 ELSE 0 END) AS d FROM g GROUP BY {axis}),
+    return f"""d_{axis} AS (SELECT {axis} AS i, avg(CASE WHEN value > 30 THEN 1.0e0 ELSE 0 END) AS d FROM g GROUP BY {axis}),
 r_{axis} AS (SELECT min(i) AS a, max(i) + 1 AS b FROM (SELECT i, i - row_number() OVER (ORDER BY i) AS k FROM d_{axis} WHERE d >= 0.5) GROUP BY k ORDER BY b - a DESC, a LIMIT 1),
 e_{axis} AS (SELECT greatest(a + 1, 0) AS lo, least(b - 1, hi) AS hi FROM r_{axis}, (SELECT min(i) AS l, max(i) + 1 AS hi FROM d_{axis}) WHERE b - a >= 0.5 * (hi - l))"""
 
 
 @query(f"{_IN_GRID}, {_runs('row')}, {_runs('col')} SELECT 0 AS raster_id, e_row.lo AS row0, e_row.hi AS row1, e_col.lo AS col0, e_col.hi AS col1 FROM e_row, e_col WHERE e_row.lo < e_row.hi AND e_col.lo < e_col.hi")
 def crop_window(spark, sf_dir):
-    return raster.crop_windows(_grid(spark, sf_dir), 60.0, 0.5, 1, 1, refine=False)
+    return raster.crop_windows(_grid(spark, sf_dir), 30.0, 0.5, 1, 1, refine=False)
 
 
 @query()
@@ -380,15 +386,16 @@ def stage_phases(spark, sf_dir):
     return phases.phases(spark, "S1").groupBy("stage").agg(F.count("*").alias("n"), F.count_if("external").alias("n_external"))
 
 
-def _pairs(spark, sf_dir):
-    """Per tile, points and where an affine map puts them; every fifth is off by far."""
-    return load(spark, sf_dir, "orders").selectExpr("o_custkey % 20 as tile_id", "cast(o_orderkey * 37 % 1000 as double) as x", "cast(o_orderkey * 91 % 1000 as double) as y", "o_orderkey").selectExpr(
-        "tile_id", "x", "y", "1.1 * x - 0.2 * y + 5 + case when o_orderkey % 5 = 0 then 300 + x else 0 end as u", "0.3 * x + 0.9 * y - 7 as v")
+_TILE = "o_orderkey AS k, cast(o_orderkey * 37 % 1000 AS double) AS x, cast(o_orderkey * 91 % 1000 AS double) AS y"
 
 
-@query()
+@query(f"""WITH p AS (SELECT o_orderkey // 500 AS tile_id, {_TILE} FROM orders)
+SELECT tile_id, x, y, round(1.1e0 * x - 0.2e0 * y + 5, 6) AS u, round(0.3e0 * x + 0.9e0 * y - 7, 6) AS v, 0.0e0 AS residual, 1.0e0 AS confidence, 1.0e0 AS inv_confidence, 'ok' AS status FROM p WHERE k % 5 <> 0""")
 def match_tiles(spark, sf_dir):
-    return matching.match_tiles(_pairs(spark, sf_dir))
+    """Tiles of 500 keys, so that there are more of them in a larger table; every fifth pair is off by far."""
+    pairs = load(spark, sf_dir, "orders").selectExpr("o_orderkey div 500 as tile_id", *_TILE.split(", "))
+    pairs = pairs.selectExpr("tile_id", "x", "y", "1.1D * x - 0.2D * y + 5 + case when k % 5 = 0 then 300 + x else 0 end as u", "0.3D * x + 0.9D * y - 7 as v")
+    return matching.match_tiles(pairs).withColumns({c: F.abs(F.round(c, 6)) for c in ("residual", "confidence", "inv_confidence")} | {c: F.round(c, 6) for c in ("u", "v")})
 
 
 @query("""SELECT o_orderkey AS id, round(2.0e0 * (o_custkey % 100) + 0.1e0 * (o_orderkey % 50) + 3, 6) AS samp, round(1.5e0 * (o_orderkey % 70) - 0.2e0 * (o_orderkey % 50) + 4, 6) AS line FROM orders""")
@@ -396,3 +403,6 @@ def ground_to_image(spark, sf_dir):
     ground = load(spark, sf_dir, "orders").selectExpr("o_orderkey as id", "cast(o_custkey % 100 as double) as x", "cast(o_orderkey % 70 as double) as y", "cast(o_orderkey % 50 as double) as h")
     camera = matching.AffineCamera([[2, 0, 0.1], [0, 1.5, -0.2]], [3, 4])
     return matching.ground_to_image(ground, camera).select("id", F.round("samp", 6).alias("samp"), F.round("line", 6).alias("line"))
+
+
+from skyquilt import registry_tiles  # noqa: E402, F401  it adds its queries to these
