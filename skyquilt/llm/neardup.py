@@ -13,11 +13,13 @@
    cut into blocks, and each pair of blocks is a task of its own.
 5. Components of the confirmed links are the result.
 
-Two documents with a similarity of 0.85 share no bucket with probability 2e-7, more similar ones less often.
+Two documents with a similarity of 0.85 share no bucket with probability 2e-7, with one of 0.8 with 8e-5, more
+similar ones less often.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,7 +99,7 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 
 def sketch(documents: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, print (of the whole set) and keys (BANDS 64-bit words, null for an empty set)."""
+    """doc_id, row (a hash of the text), n_shingles, print (of the whole set) and keys (BANDS 64-bit words, null for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,9 +109,9 @@ def sketch(documents: DataFrame, width: int) -> DataFrame:
                 n.append(len(own))
                 prints.append(xxhash.xxh3_128_digest(own.tobytes()) if len(own) else None)
                 keys.append(band_keys(signature(own)).tobytes() if len(own) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.binary())], ["doc_id", "n_shingles", "print", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.binary())], ["doc_id", "row", "n_shingles", "print", "keys"])
 
-    return documents.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, "doc_id long, n_shingles long, print binary, keys binary")
+    return documents.selectExpr("cast(doc_id as long) as doc_id", "text", "xxhash64(text) as row").mapInArrow(run, "doc_id long, row long, n_shingles long, print binary, keys binary")
 
 
 def _batch_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,7 +180,7 @@ def _links(sets: list[np.ndarray], per_cent: int) -> list[tuple[int, int]]:
         done.add(x)
         expand(x)
     roots = [top(x) for x in range(len(sets))]
-    main = max(set(roots), key=roots.count)
+    main = Counter(roots).most_common(1)[0][0]
     for x in range(len(sets)):
         if roots[x] != main and x not in done:
             expand(x)
@@ -186,19 +188,19 @@ def _links(sets: list[np.ndarray], per_cent: int) -> list[tuple[int, int]]:
 
 
 def _confirm(width: int, per_cent: int):
-    """Rows (task, doc_id, print, text), sorted by task, to links (a, b)."""
+    """Rows (task, node, print, text), sorted by task, to links (a, b) between nodes."""
 
     def flush(rows: list) -> Iterator[tuple[int, int]]:
         own = {}
-        for doc, told, text in rows:
-            if doc not in own:
+        for node, told, text in rows:
+            if node not in own:
                 found = shingle_set(text, width)
-                if xxhash.xxh3_128_digest(found.tobytes()) == told:  # else another row with the same id
-                    own[doc] = found
+                if xxhash.xxh3_128_digest(found.tobytes()) == told:  # else another row with the same doc_id
+                    own[node] = found
         if len(own) > 1:
-            docs = list(own)
+            nodes = list(own)
             for x, y in _links(list(own.values()), per_cent):
-                yield docs[x], docs[y]
+                yield nodes[x], nodes[y]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, task = [], None
@@ -216,20 +218,27 @@ def _confirm(width: int, per_cent: int):
     return run
 
 
-def near_duplicates(documents: DataFrame, width: int = 5, per_cent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept (doc_id = component_id) for every row of ``documents``.
+def _classes(sets: DataFrame, scratch: Scratch) -> tuple[DataFrame, bool]:
+    """print, rep (the smallest doc_id), n and node of each distinct set, and whether some node isn't its rep.
 
-    Words are what stands between ASCII spaces, A-Z lower-cased; a text of fewer words than ``width`` is one
-    shingle. Texts without words, and null ones, have an empty set and are linked with nothing; so are rows
-    without a doc_id, whose component_id is null and which are kept. Repeated rows are rows of one component.
-    Other columns are ignored. ``component_id`` is the smallest doc_id that can be reached over links.
+    It is, unless a doc_id is repeated with another text and so stands for two sets.
     """
+    classes = scratch.save(sets.groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")))
+    twice = scratch.save(classes.groupBy("rep").agg(F.count("*").alias("k")).where("k > 1").select("rep"))
+    if twice.isEmpty():
+        return classes.withColumn("node", F.col("rep")), False
+    node = F.when(F.col("again"), F.xxhash64("print", "rep")).otherwise(F.col("rep"))
+    return scratch.save(classes.join(twice.withColumn("again", F.lit(True)), "rep", "left").select("print", "rep", "n", node.alias("node"))), True
+
+
+def near_duplicate_rows(documents: DataFrame, width: int = 5, per_cent: int = 80) -> DataFrame:
+    """What ``near_duplicates`` gives, and row, a hash of the text."""
     spark = documents.sparkSession
     scratch = Scratch(spark)
     rows = scratch.save(sketch(documents, width))
     sets = rows.where("doc_id is not null and print is not null")
-    classes = scratch.save(sets.groupBy("print").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n")))
-    keyed = sets.join(classes.select("print", F.col("rep").alias("doc_id")), ["print", "doc_id"], "left_semi").select("doc_id", "keys")
+    classes, odd = _classes(sets, scratch)
+    keyed = sets.join(classes.select("print", F.col("rep").alias("doc_id"), "node"), ["print", "doc_id"]).select("node", "keys")
     stars = scratch.save(keyed.mapInArrow(_batch_stars, "edge boolean, a long, b long"))
     key = Window.partitionBy("a")
     across = stars.where("not edge").withColumn("hub", F.min("b").over(key)).where("hub <> b").select(F.col("hub").alias("a"), "b")
@@ -237,23 +246,46 @@ def near_duplicates(documents: DataFrame, width: int = 5, per_cent: int = 80) ->
     clusters = connected_components(edges)
     scratch.drop(stars)
     # A cluster's blocks, by its weight; a pair of blocks is a task.
-    member = clusters.join(classes.select(F.col("rep").alias("node"), "print", "n"), "node")
+    member = clusters.join(classes, "node")
     blocks = member.groupBy("component").agg(F.ceil(F.sum("n") / BLOCK).cast("int").alias("m"))
     member = member.join(blocks, "component").withColumn("i", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
     task = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda j: F.struct(F.least("i", j).alias("lo"), F.greatest("i", j).alias("hi")))
-    whole = documents.selectExpr("cast(doc_id as long) as node", "text").where("node is not null and text is not null")
-    whole = member.select("node", "print", "component", "m", "i").join(whole, "node")
+    whole = documents.selectExpr("cast(doc_id as long) as rep", "text").where("rep is not null and text is not null")
+    whole = member.select("rep", "node", "print", "component", "m", "i").join(whole, "rep")
     whole = whole.select("component", F.explode(task).alias("t"), "node", "print", "text")
     whole = whole.select(F.xxhash64("component", "t.lo", "t.hi").alias("task"), "node", "print", "text")
     links = whole.repartition("task").sortWithinPartitions("task", "node").mapInArrow(_confirm(width, per_cent), "a long, b long")
     found = connected_components(links)
-    reps = classes.select("print", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("print", F.coalesce("component", "rep").alias("component"))
-    out = rows.select("doc_id", "n_shingles", "print").join(reps, "print", "left")
+    reps = classes.select("print", "rep", "node").join(found, "node", "left").select("print", "rep", F.coalesce("component", "node").alias("component"))
+    if odd:
+        smallest = reps.groupBy("component").agg(F.min("rep").alias("smallest"))
+        reps = reps.join(smallest, "component").select("print", F.col("smallest").alias("component"))
+    out = rows.select("doc_id", "row", "n_shingles", "print").join(reps.select("print", "component"), "print", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
-    out = out.select("doc_id", "n_shingles", component.alias("component_id"))
+    out = out.select("doc_id", "row", "n_shingles", component.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def near_duplicates(documents: DataFrame, width: int = 5, per_cent: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept (doc_id = component_id) for every row of ``documents``.
+
+    Words are what stands between ASCII spaces, A-Z lower-cased; a text of fewer words than ``width`` is one
+    shingle. Texts without words, and null ones, have an empty set and are linked with nothing; so are rows
+    without a doc_id, whose component_id is null and which are kept. Repeated rows are rows of one component; a
+    doc_id that is repeated with another text is a document for each text, and only the texts' likeness links them.
+    Other columns are ignored. ``component_id`` is the smallest doc_id that can be reached over links.
+    A pair at a similarity of 0.8 shares no bucket with probability 8e-5, one of 0.85 with 2e-7.
+    """
+    return near_duplicate_rows(documents, width, per_cent).drop("row")
+
+
+def drop_near_duplicates(documents: DataFrame, width: int = 5, per_cent: int = 80) -> DataFrame:
+    """``documents`` without the rows that ``near_duplicates`` doesn't keep; of each group one document stays."""
+    gone = near_duplicate_rows(documents, width, per_cent).where("not kept").select("doc_id", "row").distinct().toDF("_doc", "_row")
+    same = (documents["doc_id"].cast("long") == gone["_doc"]) & (F.xxhash64(documents["text"]) == gone["_row"])
+    return documents.join(gone, same, "left_anti")
+
+
 #: DuckDB: links from an inverted index over all shingles, then the smallest reachable id.
 ORACLE = """
 WITH RECURSIVE w AS (
