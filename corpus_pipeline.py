@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from skyquilt.llm.lines import dedup_lines
-from skyquilt.llm.neardup import near_duplicates
+from skyquilt.llm.neardup import drop_near_duplicates
 from skyquilt.llm.packing import pack_documents
 from skyquilt.llm.registry import WORDS
 from skyquilt.llm.toxicity import drop_toxic
@@ -19,13 +19,13 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return dedup_lines(docs)
+    """Repeated lines go; a document of which nothing but blank lines is left goes with them."""
+    return dedup_lines(docs, drop_emptied=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Five-word shingles, a similarity of 0.8. Rows without a doc_id, and rows that repeat a kept one, stay."""
-    gone = near_duplicates(docs).where("not kept").selectExpr("doc_id as _gone").distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    return drop_near_duplicates(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
