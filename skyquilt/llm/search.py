@@ -1,10 +1,17 @@
 """Exact top-k search by BM25: an inverted index per shard with block-max WAND, merged on global statistics.
 
 A shard's postings are ordered by term and document and cut where the document block (BLOCK documents) changes;
-each cut keeps its largest impact. A query's bound for a block is the sum over its terms of weight times that
-impact. Blocks are taken by falling bound; once k documents are scored, the k-th score prunes every block whose
-bound is lower, so that only postings of surviving blocks are read. Document counts, lengths and frequencies
-are those of the whole corpus, so the shards' lists can be merged as they are.
+each cut keeps its largest impact. A query's cursors, one for each of its terms, go through their cuts in the order of
+documents. The pivot is the next block whose bound reaches the k-th score so far: weight times largest impact, summed over the
+terms that have a cut there. Cursors skip what lies before it, and only the pivots' postings are read. The first threshold
+comes from the block with the largest bound. Sums of block maxima are made for all blocks at once, so the list-wide maxima by
+which plain WAND finds its pivot aren't needed: they would skip no further.
+
+Terms that are in many of a shard's documents have no postings but a dense column of impacts, as whole texts for queries hold
+nearly all of them and a list of them would skip nothing: their part of a block's bound is the largest sum in it, from one
+matrix product for many queries. Bounds and sums are of single precision and widened by SLACK; the documents that remain are
+scored exactly, in double precision, from a forward index. Document counts, lengths and frequencies are those of the whole
+corpus, so the shards' lists can be merged as they are.
 """
 
 from __future__ import annotations
@@ -24,109 +31,230 @@ K1, B = 1.2, 0.75
 BLOCK = 64
 #: Documents of a shard, on average.
 SHARD = 10_000
+#: Pivots that are scored together, and queries whose dense part is.
+RUN, QUERIES = 64, 64
+#: A term is dense if it is in this share of a shard's documents; at most so many are.
+DENSE, MOST_DENSE = 1 / 32, 512
+#: By which share a sum in single precision may be wrong, and more.
+SLACK = 1e-4
+#: Terms that are counted together before they are shuffled.
+COUNTED = 2_000_000
 _WORD = re.compile(r"\w+")
+_DOC = "shard int, query boolean, id long, words long, terms binary, tf binary, keys array<long>, weights array<double>"
 
 
-def terms_of(text: str | None) -> np.ndarray:
-    """Sorted 64-bit hashes of the words, repeated as they are."""
+def terms_of(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct 64-bit hashes of the words, sorted, and how often each occurs."""
     own = _WORD.findall((text or "").lower())
-    return np.sort(np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own)).astype(np.int64))
+    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own)).astype(np.int64), return_counts=True)
+
+
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per text its terms and their counts as bytes; counts are of two bytes, or of four if one needs it. ``salt`` numbers a task's rows."""
+    salt = 0
+    for batch in batches:
+        words, terms, tf = [], [], []
+        for text in batch.column(1):
+            own, n = terms_of(text.as_py())
+            words.append(int(n.sum()))
+            terms.append(own.tobytes())
+            tf.append(n.astype("<u2" if not len(n) or n.max() < 1 << 16 else "<u4").tobytes())
+        salts = np.arange(salt, salt + len(batch), dtype=np.int64)
+        salt += len(batch)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(salts), pa.array(words, pa.int64()), pa.array(terms, pa.binary()), pa.array(tf, pa.binary())], ["doc_id", "salt", "words", "terms", "tf"])
+
+
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each term and in how many texts it is, added up over many of a task's texts."""
+    held, size = [], 0
 
+    def out():
+        terms, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(terms), pa.array(n.astype(np.int64))], ["term", "df"])
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per batch: each term and in how many texts it is; and, with no term, how many texts and words there are."""
     for batch in batches:
-        own = [terms_of(x.as_py()) for x in batch.column(0)]
-        terms, n = np.unique(np.concatenate([*map(np.unique, own), np.empty(0, np.int64)]), return_counts=True)
-        columns = [pa.array([None, *terms.tolist()], pa.int64()), pa.array(np.append(len(own), n)), pa.array(np.append(sum(map(len, own)), 0 * n))]
-        yield pa.RecordBatch.from_arrays([columns[0], *(x.cast(pa.int64()) for x in columns[1:])], ["term", "df", "words"])
+        own = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int64)
+        held.append(own)
+        size += len(own)
+        if size > COUNTED:
+            yield out()
+            held, size = [], 0
+    if size:
+        yield out()
 
 
 def _query_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(len(batch)):
-            terms, n = np.unique(terms_of(batch.column(1)[at].as_py()), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0)[at].as_py(), len(terms)), pa.int64()), pa.array(terms), pa.array(n).cast(pa.int64())], ["query_id", "term", "qtf"])
+            terms, n = terms_of(batch.column(1)[at].as_py())
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0)[at].as_py(), len(terms)), pa.int64()), pa.array(terms), pa.array(n.astype(np.int64))], ["query_id", "term", "qtf"])
+
+
+def _ranges(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges that begin at ``begin`` and have ``n`` each."""
+    ends = np.cumsum(n)
+    return np.repeat(begin - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)
 
 
 class Shard:
-    """The inverted index of some documents."""
-
-    def __init__(self, ids: list[int], terms: list[np.ndarray], mean: float):
-        order = np.argsort(ids, kind="stable")
-        self.ids = np.array(ids, np.int64)[order]
-        terms = [terms[i] for i in order]
-        size = np.array(list(map(len, terms)), np.int64)
-        where = np.repeat(np.arange(len(terms), dtype=np.int32), size)
-        flat = np.concatenate([*terms, np.empty(0, np.int64)])
-        by = np.argsort(flat, kind="stable")
-        flat, where = flat[by], where[by]
-        new = np.concatenate(([True], (flat[1:] != flat[:-1]) | (where[1:] != where[:-1])))[: len(flat)]
-        at = np.flatnonzero(new)
-        tf = np.diff(np.append(at, len(flat))).astype(float)
-        flat, self.doc = flat[at], where[at]
-        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * size[self.doc] / max(mean, 1e-9)))
-        block = self.doc // BLOCK
-        cut = np.concatenate(([True], (flat[1:] != flat[:-1]) | (block[1:] != block[:-1])))[: len(flat)]
-        self.cut = np.append(np.flatnonzero(cut), len(flat))
-        self.top = np.maximum.reduceat(self.impact, self.cut[:-1]) if len(flat) else np.empty(0)
-        self.block = block[self.cut[:-1]]
-        self.terms, first = np.unique(flat[self.cut[:-1]], return_index=True)
-        self.first = np.append(first, len(self.block))
-        self.blocks = -(-len(terms) // BLOCK)
-
-    def search(self, query: int, terms: np.ndarray, weights: np.ndarray, k: int) -> list[tuple[int, float]]:
-        """The k best documents but the query's own, best first, ties by id; only such as share a term."""
-        at = np.searchsorted(self.terms, terms)
-        has = at < len(self.terms)
-        has[has] = self.terms[at[has]] == terms[has]
-        at, weights = at[has], weights[has]
+    """The inverted index of some documents: their ids and words, how many terms each has, and all terms and counts in a row."""
+
+    def __init__(self, ids: np.ndarray, words: np.ndarray, sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray, mean: float):
+        # What is as long as all terms is dropped as soon as it can be: a worker's memory is that of its shard's building.
+        self.ids, n = ids, len(ids)
+        by = np.argsort(terms, kind="stable").astype(np.int32)
+        terms = terms[by]
+        new = np.concatenate(([True], terms[1:] != terms[:-1]))[: len(terms)]
+        self.terms = terms[new]
+        del terms
+        term = np.cumsum(new, dtype=np.int32) - np.int32(1)
+        # The forward index: each document's terms, by their number, and impacts.
+        self.held, self.begin = np.empty(len(by), np.int32), np.append(0, np.cumsum(sizes))
+        self.held[by] = term
+        where = np.repeat(np.arange(n, dtype=np.int32), sizes)
+        self.exact = counts.astype(float)
+        self.exact *= (K1 + 1) / (self.exact + (K1 * (1 - B + B * words / max(mean, 1e-9)))[where])
+        self.weight = np.zeros(len(self.terms))
+        self.blocks = max(1, -(-n // BLOCK))
+        df = np.bincount(term, minlength=len(self.terms))
+        often = np.argsort(-df, kind="stable")[:MOST_DENSE]
+        often = often[df[often] >= max(2, DENSE * n)]
+        self.column = np.full(len(self.terms), -1, np.int32)
+        self.column[often] = np.arange(len(often))
+        at = self.column[term]
+        self.dense = np.zeros((len(often), self.blocks * BLOCK), np.float32)
+        full = by[at >= 0]
+        self.dense[at[at >= 0], where[full]] = self.exact[full]
+        # The postings of the other terms, by term and document.
+        rest, term = by[at < 0], term[at < 0]
+        del by, at, full
+        self.doc, self.impact = where[rest], self.exact[rest].astype(np.float32)
+        del rest, where
+        block = self.doc // np.int32(BLOCK)
+        cut = np.concatenate(([True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])))[: len(term)]
+        self.cut = np.append(np.flatnonzero(cut), len(term))
+        self.top = np.maximum.reduceat(self.impact, self.cut[:-1]) if len(term) else np.empty(0, np.float32)
+        self.block = block[self.cut[:-1]].astype(np.uint16 if self.blocks < 1 << 16 else np.int32)
+        self.first = np.searchsorted(term[self.cut[:-1]], np.arange(len(self.terms) + 1))
+
+    def search(self, queries: list[tuple[int, np.ndarray, np.ndarray]], k: int) -> list[tuple[int, int, float]]:
+        """(query, document, score) of the k best documents but the query's own for each (query, terms, weights), best first, ties by id.
+
+        Only documents that share a term are found.
+        """
+        own = []
+        for query, terms, weights in queries:
+            at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
+            has = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
+            own.append((query, at[has], weights[has]))
+        dense = np.zeros((len(own), len(self.dense)), np.float32)
+        for row, (_, at, weights) in zip(dense, own, strict=True):
+            column = self.column[at]
+            row[column[column >= 0]] = weights[column >= 0]
+        sums = dense @ self.dense
+        out = []
+        for (query, at, weights), partial in zip(own, sums, strict=True):
+            docs = self._candidates(query, at, weights, partial, k)
+            scores = self._scores(docs, at, weights)
+            top = np.lexsort((self.ids[docs], -scores))[:k]
+            out += [(query, int(self.ids[docs[i]]), float(scores[i])) for i in top if scores[i] > 0]
+        return out
+
+    def _scores(self, docs: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The exact scores of documents, each summed in the order of its terms, so that equal texts have equal scores."""
+        if not len(docs):
+            return np.empty(0)
+        self.weight[at] = weights
+        n = self.begin[docs + 1] - self.begin[docs]
+        place = _ranges(self.begin[docs], n)
+        some = n > 0
+        scores = np.zeros(len(docs))
+        if some.any():
+            scores[some] = np.add.reduceat(self.weight[self.held[place]] * self.exact[place], (np.cumsum(n) - n)[some])
+        self.weight[at] = 0
+        return scores
+
+    def _candidates(self, query: int, at: np.ndarray, weights: np.ndarray, partial: np.ndarray, k: int) -> np.ndarray:
+        """Documents among which the k best are; ``partial``: every document's score by the dense terms."""
         n = self.first[at + 1] - self.first[at]
-        if not n.sum():
-            return []
-        cuts = np.repeat(self.first[at] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())
-        weight, block = np.repeat(weights, n), self.block[cuts]
-        # Rounding must not prune a tie.
-        bound = np.bincount(block, weight * self.top[cuts], self.blocks) * (1 + 1e-9)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        best, least, done, step = [], 0.0, 0, 4
-        while done < len(order) and bound[order[done]] >= least:
-            take = order[done : done + step]
-            take = take[bound[take] >= least]
-            done, step = done + step, step * 2
-            live = np.zeros(self.blocks, bool)
-            live[take] = True
-            own = live[block]
-            begin = self.cut[cuts[own]]
-            m = self.cut[cuts[own] + 1] - begin
-            post = np.repeat(begin - np.concatenate(([0], np.cumsum(m)[:-1])), m) + np.arange(m.sum())
-            score = np.bincount(self.doc[post], np.repeat(weight[own], m) * self.impact[post], len(self.ids))
-            found = np.flatnonzero(score > 0)
-            found = found[(score[found] >= least) & (self.ids[found] != query)]
-            best += zip((-score[found]).tolist(), self.ids[found].tolist(), strict=True)
-            best = sorted(best)[:k]
-            least = -best[-1][0] if len(best) == k else 0.0
-        return [(doc, -score) for score, doc in best]
+        # The cursors' ways, merged: the cuts of all terms by block.
+        cuts = _ranges(self.first[at], n)
+        way = np.argsort(self.block[cuts], kind="stable")
+        cuts, weight = cuts[way], np.repeat(weights, n)[way].astype(np.float32)
+        block = self.block[cuts]
+        bound = partial.reshape(self.blocks, BLOCK).max(1) + np.bincount(block, weight * self.top[cuts], self.blocks)
+        bound *= 1 + SLACK
+        step = np.searchsorted(block, np.arange(self.blocks + 1))
+        docs, sums, least = np.empty(0, np.int64), np.empty(0, np.float32), 0.0
+        cursor, pivots = 0, np.array([bound.argmax()])
+        while len(pivots):
+            m = step[pivots + 1] - step[pivots]
+            own = cuts[_ranges(step[pivots], m)]
+            length = self.cut[own + 1] - self.cut[own]
+            post = _ranges(self.cut[own], length)
+            slot = np.repeat(np.repeat(np.arange(len(pivots)) - pivots, m) * BLOCK, length) + self.doc[post]
+            score = np.bincount(slot, np.repeat(weight[_ranges(step[pivots], m)], length) * self.impact[post], len(pivots) * BLOCK)
+            score = score + partial.reshape(self.blocks, BLOCK)[pivots].ravel()
+            found = np.flatnonzero((score > 0) & (score * (1 + SLACK) >= least))
+            doc = pivots[found // BLOCK] * BLOCK + found % BLOCK
+            other = self.ids[doc] != query
+            docs, sums = np.concatenate([docs, doc[other]]), np.concatenate([sums, score[found[other]]])
+            if len(docs) >= k:
+                least = np.partition(sums, len(sums) - k)[-k] * (1 - 2 * SLACK)
+                keep = sums >= least * (1 - SLACK)
+                docs, sums = docs[keep], sums[keep]
+            bound[pivots] = 0
+            pivots = cursor + np.flatnonzero(bound[cursor:] >= max(least, 1e-30))[:RUN]
+            cursor = pivots[-1] + 1 if len(pivots) else cursor
+        return docs
+
+
+def _flat(column: pa.BinaryArray, kind) -> np.ndarray:
+    """The numbers in all of a column's bytes, which has no nulls, in a row."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].view(kind) if ends[-1] > ends[0] else np.empty(0, kind)
+
+
+def _lengths(column: pa.BinaryArray) -> np.ndarray:
+    return np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1])
 
 
 def _search(mean: float, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, ids, terms, index = None, [], [], None
+        """Rows of _DOC, sorted by shard and query: a shard's documents, then the queries."""
+        shard, held, index = None, [], None
+
+        def build() -> Shard:
+            ids, words, terms = (np.concatenate([f(x) for x in held]) for f in (lambda x: x.column(2).to_numpy(), lambda x: x.column(3).to_numpy(), lambda x: _flat(x.column(4), np.int64)))
+            sizes = np.concatenate([_lengths(x.column(4)) for x in held]) // 8
+            wide = np.concatenate([_lengths(x.column(5)) for x in held]) == 4 * sizes
+            if wide[sizes > 0].any():
+                counts = np.concatenate([np.frombuffer(y, "<u4" if w and len(y) else "<u2").astype(np.uint32) for y, w in zip((y for x in held for y in x.column(5).to_pylist()), wide, strict=True)])
+            else:
+                counts = np.concatenate([_flat(x.column(5), "<u2") for x in held])
+            held.clear()
+            return Shard(ids, words, sizes, terms, counts, mean)
+
         for batch in batches:
+            if not len(batch):
+                continue
+            own = [batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1)]
+            cuts = np.flatnonzero((own[0][1:] != own[0][:-1]) | (own[1][1:] != own[1][:-1])) + 1
             out = []
-            for at in range(len(batch)):
-                here, query, key = (batch.column(c)[at].as_py() for c in (0, 1, 2))
-                if here != shard:
-                    shard, ids, terms, index = here, [], [], None
-                if not query:
-                    ids.append(key)
-                    terms.append(terms_of(batch.column(3)[at].as_py()))
+            for a, b in zip([0, *cuts], [*cuts, len(batch)], strict=True):
+                if own[0][a] != shard:
+                    shard, held, index = own[0][a], [], None
+                part = batch.slice(a, b - a)
+                if not own[1][a]:
+                    held.append(part)
+                    continue
+                if not held and index is None:  # a shard without documents
                     continue
                 if index is None:
-                    index, ids, terms = Shard(ids, terms, mean), [], []
-                own = np.array(batch.column(4)[at].values.field(0)), np.array(batch.column(4)[at].values.field(1))
-                out += [(key, doc, score) for doc, score in index.search(key, *own, k)]
+                    index = build()
+                for at in range(0, len(part), QUERIES):
+                    some = part.slice(at, QUERIES)
+                    out += index.search([(some.column(2)[i].as_py(), *(some.column(c)[i].values.to_numpy() for c in (6, 7))) for i in range(len(some))], k)
             columns = [pa.array([x[c] for x in out], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, ["query_id", "doc_id", "score"])
 
@@ -136,35 +264,47 @@ def _search(mean: float, k: int):
 def top_k(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     """query_id, rank (from 1), doc_id and score: the k documents that score best for each query's whole text.
 
-    ``documents`` and ``queries`` have doc_id and text. A query's own document is left out; ties go to the
+    ``documents`` and ``queries`` have doc_id and text. Documents with a query's doc_id are left out; ties go to the
     smaller doc_id. Rows without a doc_id take no part, texts without words find nothing and aren't found,
-    fewer than k documents that share a word give fewer rows. Rows that repeat a doc_id are documents of their own.
+    fewer than k documents that share a word give fewer rows. Rows that repeat a doc_id are documents of their own; as
+    a query such a doc_id stands for its smallest text.
+
+    Texts become terms and counts once. Each query's terms go to every shard, so that what is shipped for the search is the
+    number of queries times that of shards.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark)
     docs = documents.selectExpr("cast(doc_id as long) as doc_id", "text").where("doc_id is not null")
-    asked = queries.selectExpr("cast(doc_id as long) as doc_id", "text").where("doc_id is not null").dropDuplicates(["doc_id"])
-    stats = docs.select("text").mapInArrow(_counts, "term long, df long, words long").groupBy("term").agg(F.sum("df").alias("df"), F.sum("words").alias("words"))
+    docs = scratch.save(docs.mapInArrow(_tokens, "doc_id long, salt long, words long, terms binary, tf binary"))
+    asked = queries.selectExpr("cast(doc_id as long) as doc_id", "text").where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
     wanted = scratch.save(asked.mapInArrow(_query_terms, "query_id long, term long, qtf long"))
-    known = scratch.save(_needed(stats, wanted))
-    whole = known.where("term is null").first()
-    n, words = (whole["df"], whole["words"]) if whole else (0, 0)
+    n, words = docs.agg(F.count("*"), F.coalesce(F.sum("words"), F.lit(0))).first()
+    df = docs.select("terms").mapInArrow(_frequencies, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    df = df.join(wanted.select("term").distinct(), "term", "left_semi")
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighed = wanted.join(known.where("term is not null").select("term", idf.alias("idf")), "term")
-    weighed = weighed.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", (F.col("qtf") * F.col("idf")).alias("w")))).alias("terms"))
-    weighed = scratch.save(weighed)
+    weighed = wanted.join(df.select("term", idf.alias("idf")), "term").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", (F.col("qtf") * F.col("idf")).alias("w")))).alias("t"))
+    weighed = scratch.save(weighed.select("query_id", F.col("t.term").alias("keys"), F.col("t.w").alias("weights")))
     shards = max(1, -(-n // SHARD))
-    rows = docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"), F.lit(False).alias("query"), F.col("doc_id").alias("id"), "text", F.lit(None).cast(weighed.schema["terms"].dataType).alias("terms"))
-    each = weighed.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("query"), F.col("query_id").alias("id"), F.lit(None).cast("string").alias("text"), "terms")
-    found = rows.unionByName(each).repartition(shards, "shard").sortWithinPartitions("shard", "query")
+    no, none = F.lit(False).alias("query"), lambda kind, name: F.lit(None).cast(kind).alias(name)
+    rows = docs.select(F.pmod(F.xxhash64("doc_id", "salt"), F.lit(shards)).cast("int").alias("shard"), no, F.col("doc_id").alias("id"), "words", "terms", "tf", none("array<long>", "keys"), none("array<double>", "weights"))
+    each = weighed.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("query"), F.col("query_id").alias("id"), none("long", "words"), none("binary", "terms"), none("binary", "tf"), "keys", "weights")
+    # More partitions than shards, so that few of them get several.
+    found = rows.unionByName(each).repartition(3 * shards, "shard").sortWithinPartitions("shard", "query")
     found = found.mapInArrow(_search(words / max(n, 1), k), "query_id long, doc_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "doc_id", "score")
 
 
-def _needed(stats: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The corpus figures of the queries' terms, and of the corpus itself."""
-    stats = stats.withColumn("t", F.coalesce(F.col("term"), F.lit(0)))
-    asked = wanted.select(F.col("term").alias("t")).distinct()
-    return stats.join(asked.withColumn("asked", F.lit(True)), "t", "left").where("asked or term is null").select("term", "df", "words")
+#: DuckDB: every document that shares a word with a query is scored. Scores that agree to nine places are ties.
+ORACLE = f"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}_]+')) AS t FROM documents WHERE doc_id IS NOT NULL),
+f AS (SELECT doc_id, t, count(*)::DOUBLE AS tf FROM d GROUP BY doc_id, t),
+l AS (SELECT doc_id, sum(tf) AS n FROM f GROUP BY doc_id),
+g AS (SELECT count(*)::DOUBLE AS n, (SELECT sum(n) FROM l) / count(*) AS mean FROM documents WHERE doc_id IS NOT NULL),
+i AS (SELECT t, ln(1 + (g.n - count(*) + 0.5e0) / (count(*) + 0.5e0)) AS idf FROM f, g GROUP BY t, g.n),
+s AS (SELECT q.doc_id AS query_id, f.doc_id, sum(q.tf * idf * f.tf * {K1 + 1}e0 / (f.tf + {K1}e0 * ({1 - B}e0 + {B}e0 * l.n / g.mean))) AS score
+      FROM f q JOIN i USING (t) JOIN f ON f.t = q.t AND f.doc_id <> q.doc_id JOIN l ON l.doc_id = f.doc_id, g WHERE q.doc_id % 100 = 0 GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT query_id, rank::INTEGER AS rank, doc_id, round(score, 6) AS score FROM r WHERE rank <= 10
+"""
