@@ -2,7 +2,8 @@
 
 Lineage is cut by writing Parquet under ``spark.checkpoint.dir``, so a lost executor costs a re-read and
 not a recomputation. Only where that setting is absent and the master is local does a temporary folder
-stand in for it.
+stand in for it. The shuffles of a table's plan go as soon as it is written, and what an operator leaves in its folder, as
+its lazy result may still read it, goes when the driver's Python ends.
 """
 
 from __future__ import annotations
@@ -11,10 +12,39 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, suppress
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local: dict[str, str] = {}
+_roots: list[tuple[SparkSession, str]] = []
+#: Spark removes an execution's shuffle files at its end if this is set when its DataFrame is made.
+_TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
+
+
+@atexit.register
+def _clear() -> None:
+    for spark, root in _roots:
+        with suppress(Exception):  # a session that has ended can't delete
+            _delete(spark, root)
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """The shuffles of what is made and run inside go when it has run; nothing made inside may be run twice."""
+    was = spark.conf.get(_TIDY, "false")
+    spark.conf.set(_TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_TIDY, was)
 
 
 def folder(spark: SparkSession) -> str:
@@ -22,7 +52,7 @@ def folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if "path" not in _local:
         _local["path"] = tempfile.mkdtemp(prefix="skyquilt-")
@@ -36,8 +66,8 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{folder(spark)}/skyquilt-{uuid.uuid4().hex}"
-        self._names: dict[int, str] = {}
         self._n = 0
+        _roots.append((spark, self.root))
 
     def path(self) -> str:
         self._n += 1
@@ -46,9 +76,9 @@ class Scratch:
     def save(self, df: DataFrame) -> DataFrame:
         """Writes ``df`` and returns what reads it back; its lineage starts there."""
         path = self.path()
-        df.write.parquet(path)
+        with tidy(self.spark):
+            df.where(F.lit(True)).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
-        self._names[id(out)] = path
         out._scratch_path = path
         return out
 
@@ -58,10 +88,4 @@ class Scratch:
                 self.remove(table._scratch_path)
 
     def remove(self, path: str) -> None:
-        jvm = self.spark._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
-
-    def release(self) -> None:
-        """Lets Spark's cleaner delete the shuffle files of plans that are no longer referenced."""
-        self.spark._jvm.System.gc()
+        _delete(self.spark, path)
