@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from skyquilt.llm import chat, licenses, lines, neardup, neighbours, packing, search, tokens, toxicity, warc
 
@@ -23,7 +24,7 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return search.top_k(docs, docs.where("doc_id % 100 = 0"))
+    return search.top_k(docs, docs.where("doc_id % 100 = 0")).withColumn("score", F.round("score", 6))
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +53,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return warc.warc_digest(_table(spark, sf_dir, "pages"), "gzip")
+    return warc.warc_digest(_table(spark, sf_dir, "pages"))
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,4 +63,4 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_nearest, op2_top_k, op3_licenses, op4_near_duplicates, op5_line_dedup, op6_toxicity, op7_sentencepiece, op8_packing, op9_warc, op10_chat_format)
 }
-ORACLE_SQL = {"op4_near_duplicates": neardup.ORACLE, "op9_warc": warc.ORACLE, "op10_chat_format": chat.ORACLE}
+ORACLE_SQL = {"op2_top_k": search.ORACLE, "op4_near_duplicates": neardup.ORACLE, "op5_line_dedup": lines.ORACLE, "op9_warc": warc.ORACLE, "op10_chat_format": chat.ORACLE}

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyquilt.plans.scratch import Scratch
+from skyquilt.plans.scratch import Scratch, tidy
 
 MAGIC = "WARC/1.1\r\n"
 GAP = "\r\n\r\n"
@@ -20,9 +20,16 @@ GAP = "\r\n\r\n"
 REVISIT_BYTES = 1000
 #: Files are cut into blocks of so many bytes for the contraction of runs.
 BLOCK_BYTES = 8 << 20
+#: Rows of a few numbers that are broadcast at most; more are shuffled.
+BROADCAST_ROWS = 1 << 18
 _HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """``table``, a written one of a few numbers in each row, to be broadcast if it has at most BROADCAST_ROWS rows."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
 def _header(pairs: list[tuple[str, Column]]) -> Column:
     return F.concat(F.lit(MAGIC), *(F.when(v.isNull(), F.lit("")).otherwise(F.concat(F.lit(f"{k}: "), v, F.lit("\r\n"))) for k, v in pairs), F.lit("\r\n"))
 
@@ -33,11 +40,13 @@ def plan_records(pages: DataFrame) -> DataFrame:
     Of records whose payloads are equal and of at least REVISIT_BYTES, those with the largest page_id are
     responses and the others revisit it. A null html is empty, a null page_id never refers or is referred to.
     """
+    scratch = Scratch(pages.sparkSession)
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("payload"))
     rows = rows.withColumns({"payload_digest": F.sha1(F.encode("payload", "UTF-8")), "payload_bytes": F.octet_length("payload").cast("long")})
     long = F.col("payload_bytes") >= REVISIT_BYTES
     last = rows.where(long).groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("last"), F.count("page_id").alias("n")).where("n > 1").drop("n")
-    rows = rows.join(last, ["payload_digest", "payload_bytes"], "left")
+    # Payloads needn't be shuffled where few are repeated.
+    rows = rows.join(_small(scratch.save(last)), ["payload_digest", "payload_bytes"], "left")
     return rows.withColumn("refers_to", F.when(F.col("page_id") < F.col("last"), F.col("last"))).drop("last")
 
 
@@ -66,19 +75,22 @@ def _field(name: str) -> Column:
 
 
 def read_warc(spark, path: str) -> DataFrame:
-    """One row per record of the archives under ``path``: file, head, body. No archives give no rows."""
+    """One row per record of the archives under ``path``: file, head, body. No archives give no rows.
+
+    The archives are read twice by one plan, for where pieces end and then for what is in them, so ``path`` must stay as it is.
+    """
     scratch = Scratch(spark)
     cut = spark.read.option("lineSep", MAGIC).text(path)
     here = F.col("_metadata")
     cut = cut.select(here["file_path"].alias("file"), here["file_block_start"].alias("split"), F.monotonically_increasing_id().alias("k"), "value")
-    cut = scratch.save(cut)
     size = F.octet_length("value").cast("long") + len(MAGIC)
+    head = F.substring_index("value", GAP, 1)
+    length = F.regexp_extract(head, r"(?m)^Content-Length: (\d{1,18})\r?$", 1)
+    sized = scratch.save(cut.select("file", "split", "k", size.alias("size"), F.octet_length(head).cast("long").alias("head_bytes"), length.alias("n")))
     # Where a split's first piece begins: the bytes of the splits before it, which are few per file.
-    sums = cut.groupBy("file", "split").agg(F.sum(size).alias("bytes"))
+    sums = sized.groupBy("file", "split").agg(F.sum("size").alias("bytes"))
     base = sums.select("file", "split", F.coalesce(F.sum("bytes").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
     within = Window.partitionBy("file", "split").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
-    head = F.substring_index("value", GAP, 1)
-    sized = cut.select("file", "split", "k", size.alias("size"), F.octet_length(head).cast("long").alias("head_bytes"), F.regexp_extract(head, r"(?m)^Content-Length: (\d{1,18})\r?$", 1).alias("n"))
     sized = sized.withColumn("end", F.coalesce(F.sum("size").over(within), F.lit(0)))
     # A piece follows the magic line before it, so its record begins len(MAGIC) earlier.
     spot = sized.join(base, ["file", "split"]).select("file", "split", "k", (F.col("base") + F.col("end") - len(MAGIC)).alias("offset"), "head_bytes", "n")
@@ -142,9 +154,10 @@ def _joined(cut: DataFrame, odd: DataFrame) -> DataFrame:
     Only the odd pieces are listed, so that the texts of ordinary archives needn't be dealt out. Pieces without an owner go.
     """
     place = ["file", "split", "k"]
-    parts = cut.join(odd.where("owner is not null"), place).groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("offset", "value"))).alias("t"))
+    marked = cut.join(_small(odd.withColumn("odd", F.lit(True))), place, "left")
+    parts = marked.where("odd and owner is not null").groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("offset", "value"))).alias("t"))
     parts = parts.select("file", F.array_join(F.transform("t", lambda x: x["value"]), MAGIC).alias("value"))
-    whole = cut.join(odd.select(*place), place, "left_anti").select("file", "value").union(parts)
+    whole = marked.where("odd is null").select("file", "value").union(parts)
     head = F.substring_index("value", GAP, 1)
     whole = whole.select("file", head.alias("head"), F.encode("value", "UTF-8").alias("raw"), (F.octet_length(head) + len(GAP)).alias("from"))
     size = _field("Content-Length").cast("int")
@@ -156,10 +169,9 @@ def warc_digest(pages: DataFrame, compression: str = "none") -> DataFrame:
     spark = pages.sparkSession
     scratch = Scratch(spark)
     path = scratch.path()
-    write_warc(plan_records(pages), path, compression)
-    scratch.release()
+    with tidy(spark):
+        write_warc(plan_records(pages), path, compression)
     back = read_warc(spark, path)
-    scratch.remove(path)  # its pieces are in a table by now
     page = lambda c: F.expr(f"try_cast(regexp_extract({c}, 'urn:page:([^>]*)', 1) as bigint)")
     back = back.select(_field("WARC-Type").alias("record_type"), _field("WARC-Record-ID").alias("id"), _field("WARC-Refers-To").alias("to"), _field("WARC-Payload-Digest").alias("told"), _field("X-Payload-Bytes").cast("long").alias("n"), "body")
     payload = F.substring(F.col("body"), F.lit(len(_HTTP) + 1), F.octet_length("body"))
