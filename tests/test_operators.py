@@ -205,7 +205,7 @@ def test_homography_and_statuses(spark):
         matching.match_tiles(spark.range(0), "none")
 
 
-def test_knn_ratio_share_against_brute_force(spark, tmp_path):
+def test_knn_ratio_against_brute_force(spark, tmp_path):
     rng = np.random.default_rng(4)
     v = rng.normal(size=(700, 8)).astype(np.float32)
     v[100] = v[3] + 0.01  # the nearest of a query is among the first ids
@@ -218,7 +218,7 @@ def test_knn_ratio_share_against_brute_force(spark, tmp_path):
         one, two = np.argsort(d, kind="stable")[:2]
         if np.sqrt(d[one]) < 0.95 * np.sqrt(d[two]):
             want[q] = (one, pytest.approx(d[one], abs=1e-5), pytest.approx(d[two], abs=1e-5))
-    got = {r["query_id"]: (r["train_id"], r["d1"], r["d2"]) for r in registry.QUERIES["knn_ratio_share"](spark, str(tmp_path)).collect()}
+    got = {r["query_id"]: (r["train_id"], r["d1"], r["d2"]) for r in registry.QUERIES["knn_ratio"](spark, str(tmp_path)).collect()}
     assert got == want and got[100][0] == 3 and got[400][0] == 500 and got[500][0] == 400
 
 

@@ -204,3 +204,60 @@ def test_footprint_columns(spark):
 @pytest.mark.parametrize("name", ["map_filter", "crop_window", "crop_window_refined", "raw_windows", "reference_windows", "dense_warp", "area_resize", "remap", "strip_table", "region", "cells_of_windows"])
 def test_queries_leave_rows(spark, name):
     assert registry.QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_components_of_boxes_of_all_sizes(spark):
+    r = np.random.default_rng(12)
+    size = 2.0 ** r.integers(-12, 7, 150)
+    x, y = r.uniform(-300, 300, (2, 150))
+    boxes = [(k, float(x[k]), float(y[k]), float(x[k] + size[k]), float(y[k] + size[k] * r.uniform(0.1, 1))) for k in range(150)] + [(200, -1000.0, 0.0, 1000.0, 1.0), (201, 5.0, 0.5, 5.0, 0.5)]
+    df = spark.createDataFrame(boxes, "id long, x0 double, y0 double, x1 double, y1 double")
+    got = {c["node"]: c["component"] for c in footprint.footprint_components(df).collect()}
+    up = {b[0]: b[0] for b in boxes}
+    for a in boxes:
+        for b in boxes:
+            w, h = (min(a[k + 2], b[k + 2]) - max(a[k], b[k]) for k in (1, 2))
+            if a[0] < b[0] and w >= 0 and h >= 0 and (w > 0 or h > 0):
+                low, high = sorted((up[a[0]], up[b[0]]))
+                up = {k: low if v == high else v for k, v in up.items()}
+    assert got == up and len(set(up.values())) < len(up)
+    assert footprint.footprint_components(df.limit(0)).count() == 0
+
+
+def test_catalogue_reader_and_small_writers(spark, tmp_path):
+    from skyquilt.operators import cameras, export, gcp, tiles
+    from skyquilt.streaming.ingest import stream_gcp
+
+    corners = {f"{c} Corne_{n}": float(k) for k, (c, n) in enumerate((c, n) for c in ("NW", "NE", "SE", "SW") for n in (2, 3))}
+    spark.createDataFrame(pd.DataFrame([{"Entity ID": "D3C1200-000001F001", "Mission": "m"} | corners])).write.parquet(str(tmp_path / "cat"))
+    row = files.read_catalog(spark, str(tmp_path / "cat")).first()
+    assert (row["entity_id"], row["nw_lat"], row["nw_lon"], row["sw_lon"], row["has_crop"]) == ("D3C1200-000001F001", 0.0, 1.0, 7.0, False)
+    with pytest.raises(ValueError):
+        files.read_catalog(spark, str(tmp_path / "cat"), "No Such")
+    states = spark.createDataFrame([("c", [1.0, 2.0], [3.0], 5.0, 7.0, [8.0], 9.0)], "camera_id string, m_iTransS array<double>, m_iTransL array<double>, m_detectorSampleOrigin double, m_detectorLineOrigin double, m_intTimes array<double>, m_gsd double")
+    scaled = cameras.scale_linescan(states, F.lit(10), F.lit(20)).first()
+    assert (scaled["m_iTransS"], scaled["m_iTransL"], scaled["m_detectorSampleOrigin"], scaled["m_intTimes"], scaled["m_gsd"], scaled["m_nSamples"], scaled["m_nLines"]) == ([2.0, 4.0], [6.0], 10.0, [4.0], 4.5, 10, 20)
+    with pytest.raises(ValueError):
+        cameras.scale_linescan(states.drop("m_gsd"), F.lit(1), F.lit(1))
+    assert files.state_text("HEAD\n", {"b": 1, "a": [2]}) == 'HEAD\n{\n  "a": [\n    2\n  ],\n  "b": 1\n}\n'
+    lines = spark.createDataFrame([(2, "b"), (1, "a"), (3, "c")], "line_no long, line string").repartition(3)
+    files.write_gcp(lines, str(tmp_path / "gcp"), "# head")
+    assert [p.read_text() for p in (tmp_path / "gcp").glob("part-*") if p.stat().st_size] == ["# head\na\nb\nc\n"]
+    files.write_corners(spark.createDataFrame([("x", "1 2"), ("y", "3 4")], "entity_id string, lon_lat string"), str(tmp_path / "corners"))
+    assert {p.parent.name: p.read_text() for p in (tmp_path / "corners").glob("*/part-*")} == {"entity_id=x": "1 2\n", "entity_id=y": "3 4\n"}
+    boxes = spark.createDataFrame([(1, 0.0, 0.0, 1.0, 1.0), (2, 5.0, 5.0, 6.0, 6.0)], "id long, min_lon double, min_lat double, max_lon double, max_lat double")
+    assert [r["id"] for r in export.in_view(boxes, 1.0, 1.0, 4.0, 4.0).collect()] == [1]
+    names = spark.createDataFrame([(f"n{k}",) for k in range(9)], "name string")
+    assert tiles.first_names(names, 3) == ["n0", "n1", "n2", "..."] and len(tiles.first_names(names, 9)) == 9
+    cells = spark.createDataFrame([(0, 0, 0, 1.0), (0, 2, 1, 2.0)], "raster_id long, row long, col long, value double")
+    assert sorted((r["row"], r["col"], r["value"]) for r in raster.densify(cells).collect() if r["value"]) == [(0, 0, 1.0), (2, 1, 2.0)] and raster.densify(cells).count() == 6
+    profile = spark.createDataFrame([(0, k, d) for k, d in enumerate((0.1, 0.9, 0.2, 0.8, 0.1))], "raster_id long, i long, d double")
+    assert tuple(raster.refine_edges(profile, "raster_id", "i", F.col("d") > 0.5).first()) == (0, 1, 4)
+    manifest = strips.resolved_manifest(spark.createDataFrame([("s", "f", None, ["t"])], "strip_id string, fwd string, aft string, extras array<string>"), "raw").first()
+    assert json.loads(manifest["manifest"]) == {"strip_id": "s", "fwd": {"entity_id": "f", "image": "raw/f.tif"}, "extras": ["t"]}
+    (tmp_path / "stream").mkdir()
+    (tmp_path / "stream/a.gcp").write_text("# WGS84\n1 2 3 4 1 1 1 a.tif 5 6 1 1\nshort\n")
+    run = stream_gcp(spark, str(tmp_path / "stream")).writeStream.format("memory").queryName("arrived").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "ck")).start()
+    run.awaitTermination(60)
+    assert [(r["file"], r["points"]) for r in spark.table("arrived").collect()] == [("a.gcp", 1)]
+    assert gcp.parse_lines(spark.createDataFrame([("f", 0, "")], "file string, line_no long, line string")).first()["kind"] == "blank"
