@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyquilt.functions.geodesy import utm_forward, utm_inverse
 from skyquilt.functions.numeric import clip, stretch
 
 
@@ -142,6 +143,21 @@ def bilinear_sample(points: DataFrame, cells: DataFrame, sizes: DataFrame, half_
     return points.join(sums, ["id", "raster_id"], "left").select("id", "raster_id", "r", "c", "value")
 
 
+def reproject(cells: DataFrame, source: tuple[float, float, float, float], source_zone: int, grid: DataFrame, target: tuple[float, float, float, float], target_zone: int, is_north: bool = True) -> DataFrame:
+    """The cells of ``grid`` (raster_id, row, col) in another zone, with the value of the source cell in which their middles fall.
+
+    ``source`` and ``target``: origin x, cell width, origin y, cell height of the rasters; outside the source the value is null.
+    """
+    x = F.lit(target[0]) + (F.col("col") + 0.5) * F.lit(target[1])
+    y = F.lit(target[2]) + (F.col("row") + 0.5) * F.lit(target[3])
+    lon, lat = utm_inverse(x, y, F.lit(target_zone), F.lit(is_north))
+    at = grid.select("raster_id", "row", "col", lon.alias("_lon"), lat.alias("_lat"))
+    east, north = utm_forward(F.col("_lon"), F.col("_lat"), F.lit(source_zone))
+    at = at.select("raster_id", "row", "col", F.floor((east - source[0]) / source[1]).alias("_c"), F.floor((north - source[2]) / source[3]).alias("_r"))
+    held = cells.select("raster_id", F.col("row").alias("_r"), F.col("col").alias("_c"), "value")
+    return at.join(held, ["raster_id", "_r", "_c"], "left").select("raster_id", "row", "col", "value")
+
+
 def sample_grid(low: int, high: int, step: int) -> list[int]:
     """low, low + step and so on below high, and high - 1 in any case."""
     own = list(range(low, high, step))

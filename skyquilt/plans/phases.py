@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,11 @@ PHASES = (
 )
 
 
+def chosen(configured: list[str] | None, variable: str) -> list[str] | None:
+    """The phases that the environment's ``variable`` names, parted by spaces, else the configured ones."""
+    return os.environ[variable].split() if os.environ.get(variable) else configured
+
+
 def phases(spark: SparkSession, stage: str, selected: list[str] | None = None) -> DataFrame:
     """A stage's phases in order; all, or those selected."""
     rows = [(k, *x) for k, x in enumerate(PHASES) if x[0] == stage and (selected is None or x[1] in selected)]
@@ -30,6 +37,20 @@ def still_to_do(work: DataFrame, outputs: DataFrame, excluded: DataFrame | None,
     return out if excluded is None else out.join(excluded.select(key).distinct(), key, "left_anti")
 
 
+def is_done(spark: SparkSession, path: str) -> bool:
+    """Whether the table at ``path`` was written to its end, which Spark's mark says."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+
+
+def require_inputs(spark: SparkSession, paths: dict[str, str]) -> None:
+    """Raises if one of the named inputs doesn't exist."""
+    at = {name: spark._jvm.org.apache.hadoop.fs.Path(path) for name, path in paths.items()}
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    if missing := [f"{name} ({paths[name]})" for name, p in at.items() if not p.getFileSystem(conf).exists(p)]:
+        raise FileNotFoundError(f"no {', '.join(missing)}")
+
+
 def envelope_status(text: str, max_width: int, max_height: int):
     """ok, no_envelope or oversize, from a ``width: N height: N`` in a text column."""
     w, h = (F.regexp_extract(text, rf"width: (\d+) height: (\d+)", k).try_cast("bigint") for k in (1, 2))

@@ -6,6 +6,7 @@ import io
 import json
 import os
 import re
+import tarfile
 import uuid
 from collections.abc import Iterator
 
@@ -32,7 +33,8 @@ def read_catalog(spark: SparkSession, path: str, key: str = "Entity ID") -> Data
 def update_crops(spark: SparkSession, path: str, updates: DataFrame) -> int:
     """Sets the crop columns of every row of the updated ids and swaps the table in by renames; how many ids were found.
 
-    The table is written beside the old one before anything is replaced; with no id found nothing is written.
+    The table is written beside the old one before anything is replaced; with no id found nothing is written. Between the two
+    renames there is a moment without a table, in which a reader fails and can try again.
     """
     old = with_crop(spark.read.parquet(path)).drop("has_crop")
     new = updates.dropDuplicates(["entity_id"]).select(F.col("entity_id").alias("_id"), *(F.col(c).cast("bigint").alias(f"_{c}") for c in CROP))
@@ -131,6 +133,36 @@ def write_corners(rows: DataFrame, path: str) -> None:
     rows.select("entity_id", F.col("lon_lat").alias("value")).repartition("entity_id").write.partitionBy("entity_id").text(path)
 
 
+def list_names(spark: SparkSession, path: str) -> DataFrame:
+    """name of the files and folders right under ``path``, in any store."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).listStatus(at)
+    return spark.createDataFrame([(x.getPath().getName(),) for x in found], "name string")
+
+
+def archive_members(spark: SparkSession, path: str, ending: str = ".tif") -> DataFrame:
+    """archive, name and content of the members of ``.tgz`` and ``.tar.gz`` files under ``path`` whose names end so.
+
+    An archive is one task's; nothing is extracted to a local folder, and members' folders are left out of their names.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for name, raw in zip(b["path"], b["content"], strict=True):
+                with tarfile.open(fileobj=io.BytesIO(raw), mode="r:gz") as t:
+                    own = [(os.path.basename(name), os.path.basename(m.name), t.extractfile(m).read()) for m in t if m.isfile() and m.name.endswith(ending)]
+                yield pd.DataFrame(own, columns=["archive", "name", "content"])
+
+    rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.{tgz,tar.gz}").load(path).select("path", "content")
+    return rows.mapInPandas(run, "archive string, name string, content binary")
+
+
+def write_lines_by_file(lines: DataFrame, path: str, order: str = "line_no") -> None:
+    """``lines`` (file, line and ``order``) as a folder for each file with its lines in order: control points by image, or cleaned ones."""
+    rows = lines.repartition("file").sortWithinPartitions("file", order).select("file", "line")
+    rows.write.partitionBy("file").text(path)
+
+
 def scan_ids(names: DataFrame) -> DataFrame:
     """Distinct ids that stand anywhere in ``name``, sorted."""
     return names.select(F.regexp_extract("name", ID.pattern, 0).alias("entity_id")).where("entity_id <> ''").distinct().orderBy("entity_id")

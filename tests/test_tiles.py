@@ -261,3 +261,53 @@ def test_catalogue_reader_and_small_writers(spark, tmp_path):
     run.awaitTermination(60)
     assert [(r["file"], r["points"]) for r in spark.table("arrived").collect()] == [("a.gcp", 1)]
     assert gcp.parse_lines(spark.createDataFrame([("f", 0, "")], "file string, line_no long, line string")).first()["kind"] == "blank"
+
+
+def test_reproject_there_and_back(spark):
+    box = [(0, r, c) for r in range(12) for c in range(12)]
+    cells = spark.createDataFrame([(*k, float(k[1] * 100 + k[2])) for k in box], "raster_id long, row long, col long, value double")
+    grid = cells.drop("value")
+    here = (400_000.0, 500.0, 6_006_000.0, -500.0)
+    same = raster.reproject(cells, here, 37, grid, here, 37)
+    assert {(r["row"], r["col"], r["value"]) for r in same.collect()} == {(r, c, float(r * 100 + c)) for _, r, c in box}
+    from skyquilt.functions import geodesy
+
+    east, north = geodesy.utm_forward(F.lit(37.5), F.lit(54.17), F.lit(36))  # near the raster, in the zone beside its own
+    at = spark.range(1).select(east.alias("e"), north.alias("n")).first()
+    there = (round(at["e"]) - 20_000.0, 500.0, round(at["n"]) + 20_000.0, -500.0)
+    wide = spark.range(80 * 80).selectExpr("0L as raster_id", "id div 80 as row", "id % 80 as col")
+    over = raster.reproject(cells, here, 37, wide, there, 36)
+    seen = {r["value"] for r in over.where("value is not null").collect()}
+    assert len(seen) > 100 and over.where("value is null").count() > 5000
+
+
+def test_stage_marks_inputs_and_overrides(spark, tmp_path, monkeypatch):
+    from skyquilt.plans import phases
+
+    assert not phases.is_done(spark, str(tmp_path / "t"))
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    assert phases.is_done(spark, str(tmp_path / "t"))
+    phases.require_inputs(spark, {"table": str(tmp_path / "t")})
+    with pytest.raises(FileNotFoundError, match="elevation"):
+        phases.require_inputs(spark, {"table": str(tmp_path / "t"), "elevation": str(tmp_path / "none")})
+    assert phases.chosen(["1"], "SKYQUILT_PHASES") == ["1"]
+    monkeypatch.setenv("SKYQUILT_PHASES", "2 7a")
+    own = phases.phases(spark, "S0", phases.chosen(["1"], "SKYQUILT_PHASES"))
+    assert [r["phase"] for r in own.orderBy("ord").collect()] == ["2", "7a"]
+
+
+def test_listing_archives_and_files_of_lines(spark, tmp_path):
+    import io
+    import tarfile
+
+    with tarfile.open(tmp_path / "D3C1200-000001F001.tgz", "w:gz") as t:
+        for name, data in (("x/D3C1200-000001F001_a.tif", b"abc"), ("x/read.me", b"no"), ("D3C1200-000001F001_b.tif", b"")):
+            info = tarfile.TarInfo(name)
+            info.size = len(data)
+            t.addfile(info, io.BytesIO(data))
+    (tmp_path / "D3C1200-000002A001").mkdir()
+    assert sorted((r["name"], bytes(r["content"])) for r in files.archive_members(spark, str(tmp_path)).collect()) == [("D3C1200-000001F001_a.tif", b"abc"), ("D3C1200-000001F001_b.tif", b"")]
+    assert [r["entity_id"] for r in files.scan_ids(files.list_names(spark, str(tmp_path))).collect()] == ["D3C1200-000001F001", "D3C1200-000002A001"]
+    lines = spark.createDataFrame([("a", 2, "y"), ("a", 1, "x"), ("b", 1, "z")], "file string, line_no long, line string").repartition(3)
+    files.write_lines_by_file(lines, str(tmp_path / "out"))
+    assert {p.parent.name: p.read_text() for p in (tmp_path / "out").glob("*/part-*")} == {"file=a": "x\ny\n", "file=b": "z\n"}
