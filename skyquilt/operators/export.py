@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import struct
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,12 +33,12 @@ def _polygon(raw: bytes, at: int) -> tuple[int, list | None, int]:
         size = 2 + z + m
         for _ in range(n):
             (k,) = struct.unpack_from(f"{order}I", raw, at)
-            flat = struct.unpack_from(f"{order}{size * k}d", raw, at + 4)
+            ring = np.frombuffer(raw, f"{order}f8", size * k, at + 4).reshape(k, size)[:, : 2 + z]
             at += 4 + 8 * size * k
-            ring = [list(flat[i : i + 2 + z]) for i in range(0, size * k, size)]
-            area = sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:]))
-            sound = sound and k >= 4 and ring[0] == ring[-1] and bool(area) and area == area
-            own.append(ring)
+            x, y = ring[:, 0], ring[:, 1]
+            area = (x[:-1] * y[1:] - x[1:] * y[:-1]).sum()
+            sound = sound and k >= 4 and bool((ring[0] == ring[-1]).all()) and bool(area) and area == area
+            own.append(ring.tolist())
     return kind, own if sound else None, at
 
 
@@ -48,7 +49,7 @@ def read_geometry(raw: bytes | None) -> tuple[str, list] | None:
     """
     try:
         kind, own, _ = _polygon(raw, 0)
-    except (TypeError, IndexError, struct.error):
+    except (TypeError, IndexError, ValueError, struct.error):
         return None
     return None if own is None else ("Polygon", [own]) if kind == 3 else ("MultiPolygon", own)
 

@@ -375,8 +375,36 @@ def _dense(rows: np.ndarray, cols: np.ndarray, values: np.ndarray, at_rows: np.n
     return np.stack([np.interp(at_rows, rows, v) for v in along.T], 1)
 
 
-def corners_matcher(patch: int = 5, most: int = 8000, ratio: float = 0.75, threshold: float = 3.0) -> Matcher:
-    """Corners by the smaller eigenvalue of the gradients' covariance, patches of unit variance, a ratio test and a robust homography."""
+def equalised(a: np.ndarray, parts: int = 8, clip: float = 2.0) -> np.ndarray:
+    """Bytes with contrast-limited equalised histograms: each of ``parts`` by ``parts`` fields has its own, between whose middles values are mixed.
+
+    No grey level counts for more than ``clip`` times the mean; what is above is dealt to all levels.
+    """
+    a = np.clip(np.rint(a), 0, 255).astype(np.uint8)
+    ends = [np.linspace(0, n, min(parts, n) + 1).astype(int) for n in a.shape]
+    tables = np.empty((len(ends[0]) - 1, len(ends[1]) - 1, 256))
+    for i, (r0, r1) in enumerate(zip(ends[0], ends[0][1:])):
+        for j, (c0, c1) in enumerate(zip(ends[1], ends[1][1:])):
+            n = np.bincount(a[r0:r1, c0:c1].ravel(), minlength=256).astype(float)
+            limit = max(1.0, clip * n.sum() / 256)
+            n = np.minimum(n, limit) + np.maximum(n - limit, 0).sum() / 256
+            tables[i, j] = np.cumsum(n) * 255 / n.sum()
+    spots = []
+    for n, e in zip(a.shape, ends, strict=True):
+        at = np.interp(np.arange(n), (e[:-1] + e[1:] - 1) / 2, np.arange(len(e) - 1.0))
+        low = np.minimum(at.astype(int), max(len(e) - 3, 0))
+        spots.append((low, np.minimum(low + 1, len(e) - 2), at - low))
+    (r, s, fr), (c, d, fc) = spots
+    fr, fc = fr[:, None], fc[None, :]
+    of = lambda i, j: tables[i[:, None], j[None, :], a]
+    return (of(r, c) * (1 - fr) + of(s, c) * fr) * (1 - fc) + (of(r, d) * (1 - fr) + of(s, d) * fr) * fc
+
+
+def corners_matcher(patch: int = 5, most: int = 8000, ratio: float = 0.75, threshold: float = 3.0, clip: float | None = 2.0) -> Matcher:
+    """Corners by the smaller eigenvalue of the gradients' covariance, patches of unit variance, a ratio test and a robust homography.
+
+    Both images are equalised first, unless ``clip`` is None.
+    """
 
     def corners(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         gy, gx = np.gradient(a)
@@ -401,7 +429,7 @@ def corners_matcher(patch: int = 5, most: int = 8000, ratio: float = 0.75, thres
 
     def match(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         none = np.empty((0, 2)), np.empty((0, 2)), np.empty(0)
-        (p, d), (q, e) = corners(a), corners(b)
+        (p, d), (q, e) = (corners(x if clip is None or not x.size else equalised(x, clip=clip)) for x in (a, b))
         if len(p) < 4 or len(q) < 4:
             return none
         pairs = []

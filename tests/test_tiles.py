@@ -311,3 +311,12 @@ def test_listing_archives_and_files_of_lines(spark, tmp_path):
     lines = spark.createDataFrame([("a", 2, "y"), ("a", 1, "x"), ("b", 1, "z")], "file string, line_no long, line string").repartition(3)
     files.write_lines_by_file(lines, str(tmp_path / "out"))
     assert {p.parent.name: p.read_text() for p in (tmp_path / "out").glob("*/part-*")} == {"file=a": "x\ny\n", "file=b": "z\n"}
+
+
+def test_equalisation_keeps_order_and_limits_contrast():
+    flat = tilewarp.equalised(np.full((64, 64), 100.0))
+    assert np.ptp(flat) < 1e-9
+    a = np.tile(np.linspace(100, 120, 64), (64, 1))
+    out, hard = tilewarp.equalised(a, 1, 2.0), tilewarp.equalised(a, 1, 1e9)
+    assert (np.diff(out[0]) >= -1e-9).all() and np.ptp(a) < np.ptp(out) < np.ptp(hard) <= 255
+    assert tilewarp.equalised(np.zeros((3, 2))).shape == (3, 2)
