@@ -172,12 +172,16 @@ class WordTable:
         pieces = self.library.get_vocab()
         self.ends = np.zeros(max(pieces.values()) + 1, bool)
         self.ends[[k for x, k in pieces.items() if x.endswith("</w>")]] = True
-        self.units: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.units: dict[str, bytes]
+        self.words: dict[str, bytes]
+        self.forget()
         probe = "It's a1 D\xdcNE\xdf.\xa0x!'s don't ?!\xbd\x1cb\u01c5 we'll 12"
         if list(self.encode([probe]))[0] != self.ids(probe).tobytes():
             raise ValueError("this tokenizer cuts text in another way")
 
+    def forget(self) -> None:
+        self.units, self.words = {}, {}
+
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
@@ -255,5 +259,6 @@ def cut_pieces(documents: DataFrame, model: str, capacity: int) -> DataFrame:
             if rows:
                 columns = [pa.array(x, pa.int64()) for x in zip(*rows, strict=True)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "task"])
+        table.forget()  # idle workers keep their memory, and a task fills a table by itself
 
     return documents.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task long")
