@@ -80,11 +80,12 @@ def fit_chain(documents: DataFrame, labels: DataFrame, categories: list[str], fi
     """Fits the chain, in the order of ``categories``, on the labelled documents.
 
     ``labels`` has doc_id and a column of 0 and 1 for each category; rows with a null, and labels without a
-    document, are left out. The sample is bounded by ``fit_rows``; so is what is broadcast and collected:
-    hashed distinct words. Without a labelled document every bias is -30, so that nothing is predicted.
+    document, are left out; of labels that contradict one another, and of rows that repeat a doc_id, the larger label and the
+    smallest text count. The sample is bounded by ``fit_rows``; so is what is broadcast and collected: hashed distinct words. Without a labelled document every bias is -30, so that nothing is predicted.
     """
     usable = labels.selectExpr("cast(doc_id as long) as doc_id", *(f"cast({c} as int) as y{k}" for k, c in enumerate(categories))).na.drop()
-    sample = usable.dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    usable = usable.groupBy("doc_id").agg(*(F.max(f"y{k}").alias(f"y{k}") for k in range(len(categories))))
+    sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,8 +93,9 @@ def fit_chain(documents: DataFrame, labels: DataFrame, categories: list[str], fi
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary()), *batch.columns[2:]], ["doc_id", "words", *batch.schema.names[2:]])
 
     kept = documents.selectExpr("cast(doc_id as long) as doc_id", "text").join(F.broadcast(sample), "doc_id")
+    kept = kept.groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"), *(F.max(f"y{k}").alias(f"y{k}") for k in range(len(categories))))
     kind = "doc_id long, words binary, " + ", ".join(f"y{k} int" for k in range(len(categories)))
-    got = sorted(map(tuple, kept.mapInArrow(hashed, kind).collect()))  # at most fit_rows rows, but for repeated ids
+    got = sorted(map(tuple, kept.mapInArrow(hashed, kind).collect()))  # at most fit_rows rows
     rows = [np.frombuffer(x[1], "<u4") for x in got]
     fold = np.array([xxhash.xxh32_intdigest(str(x[0])) % FOLDS for x in got], int)
     extra, chain = np.zeros((len(rows), 0)), []
