@@ -212,9 +212,10 @@ def scan_licenses(files: DataFrame) -> DataFrame:
     walk = dirs.select("dir", F.inline(chain))
     found = walk.join(given.select(F.col("dir").alias("up"), "g"), "up").groupBy("dir").agg(F.max(F.struct("depth", "g")).alias("x"))
     found = found.select("dir", F.col("x.g.license").alias("up_license"), (-F.col("x.g.s")).alias("up_score"), F.col("x.g.path").alias("up_path"))
-    out = rows.select("file_id", "path", above.alias("dir"), F.xxhash64("file_id", "path").alias("k"))
-    mine = own.select(F.xxhash64("file_id", "path").alias("k"), "license", "score")
-    out = out.join(mine, "k", "left").join(found, "dir", "left")
+    out = rows.select("file_id", "path", above.alias("dir"))
+    mine = own.select(F.col("file_id").alias("_id"), F.col("path").alias("_path"), "license", "score")
+    same = F.col("file_id").eqNullSafe(F.col("_id")) & F.col("path").eqNullSafe(F.col("_path"))
+    out = out.join(mine, same, "left").join(found, "dir", "left")
     how = F.when(F.col("license").isNotNull(), F.lit("own")).when(F.col("up_license").isNotNull(), F.lit("inherited")).otherwise(F.lit("none"))
     return out.select("file_id", "path", F.coalesce("license", "up_license").alias("license"), F.coalesce("score", "up_score").alias("score"), how.alias("how"), F.when(F.col("license").isNull(), F.col("up_path")).otherwise(F.col("path")).alias("source_path"))
 
