@@ -267,8 +267,12 @@ def test_search_against_brute_force(spark, odd, none, monkeypatch):
     from collections import Counter
 
     monkeypatch.setattr(search, "SHARD", 90)
+    monkeypatch.setattr(search, "BLOCK", 4)
+    monkeypatch.setattr(search, "RUN", 3)
     r, v = random.Random(7), vocabulary(7, 150)
     docs = [(i, " ".join(r.choices(v[: r.randint(5, 150)], k=r.randint(1, 80)))) for i in range(300)]
+    docs[40:70] = [(i, docs[20][1]) for i in range(40, 70)]  # ties, more than there are places
+    docs[90:100] = [(i, "many " * 70_000 + docs[i][1]) for i in range(90, 100)]  # counts of four bytes
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = search.top_k(df, df.where("doc_id % 20 = 0"), 7).collect()
     own = {i: Counter(t.split()) for i, t in docs}
@@ -283,6 +287,25 @@ def test_search_against_brute_force(spark, odd, none, monkeypatch):
         assert [x[1] for x in mine] == [i for _, i in sorted(want)[:7]] and [x[2] for x in mine] == pytest.approx([-s for s, _ in sorted(want)[:7]])
     assert search.top_k(odd, odd).count() == 0
     assert search.top_k(none, none).count() == 0
+    again = df.where("doc_id < 50").union(df.where("doc_id = 3"))  # a row twice is two documents, and one query
+    got = search.top_k(again, again.where("doc_id in (3, 4)"), 60).groupBy("query_id", "doc_id").count().collect()
+    assert all(x["doc_id"] != x["query_id"] and x["count"] == 1 + (x["doc_id"] == 3) for x in got) and {x["query_id"] for x in got} == {3, 4}
+
+
+def test_blocks_are_skipped(monkeypatch):
+    monkeypatch.setattr(search, "BLOCK", 2)
+    monkeypatch.setattr(search, "RUN", 1)
+    for dense in (1 / 32, 2.0):  # the common term as a dense column, and as postings
+        monkeypatch.setattr(search, "DENSE", dense)
+        n, read = 400, []
+        sizes = np.array([2 if i % 50 else 3 for i in range(n)])
+        terms, counts = (np.concatenate([x[:k] for k in sizes]) for x in (np.array([1, 2, 3]), np.array([1, 1, 8])))
+        shard = search.Shard(np.arange(n), np.full(n, 10), sizes, terms, counts, 10.0)
+        ranges = search._ranges
+        with monkeypatch.context() as m:
+            m.setattr(search, "_ranges", lambda b, m: read.append(int(m.sum())) or ranges(b, m))
+            found = shard.search([(-1, np.array([1, 3, 9]), np.array([0.1, 5.0, 7.0]))], 3)
+        assert [d for _, d, _ in found] == [0, 50, 100] and sum(read) < 500  # of 808 postings and 404 cuts
 
 
 def test_neighbours_recall_and_odd(spark, monkeypatch):
@@ -302,6 +325,10 @@ def test_neighbours_recall_and_odd(spark, monkeypatch):
         hits += sum(m[2] >= s[want[-1]] - 1e-12 for m in mine)
     assert hits >= 0.9 * 300 and len(got) == 300
     assert neighbours.nearest(df.limit(0), df.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        neighbours.nearest(df.union(spark.createDataFrame([(9000, [1.0, 2.0])], df.schema)), df.limit(1))
+    few = spark.createDataFrame([(3, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (7, [0.5, 9.0])], "vec_id long, embedding array<double>").withColumn("members", F.lit(0))
+    assert [tuple(r) for r in neighbours.nearest(few, few.where("vec_id in (2, 7)"), 2).orderBy("query_id", "rank").collect()] == [(2, 1, 1, 1.0), (2, 2, 3, 1.0), (7, 1, 1, 0.5), (7, 2, 2, 0.5)]
 
 
 def test_licenses(spark, odd):
@@ -336,3 +363,122 @@ def test_scratch_reads_the_session(spark):
     s.drop(t)
     with pytest.raises(Exception):
         spark.read.parquet(t._scratch_path)
+
+
+def test_licenses_against_brute_force(spark, odd, none):
+    """Every unit's cosine with every template, and the nearest ancestor with a licence file, in plain Python."""
+    import math
+    import re
+    from collections import Counter
+
+    full = {x.name.removesuffix(".txt"): x.read_text() for x in Path(licenses.__file__).with_name("license_texts").glob("*.txt")}
+    r, v = random.Random(30), vocabulary(30)
+    notes = [text for _, text in (*licenses.TEMPLATES, *licenses.HEADERS)]
+    rows, folders = [], ["", "a/", "a/b/", "a/b/c/", "d/", "d/e/"]
+    for k in range(90):
+        words = r.choice(notes).split()
+        for _ in range(r.randint(0, 8)):
+            words[r.randrange(len(words))] = r.choice(v)
+        text = "\n\n".join([" ".join(r.choices(v, k=20)), r.choice(["", "# ", "// "]) + " ".join(words), " ".join(r.choices(v, k=9))]) if k % 3 else " ".join(r.choices(v, k=30))
+        name = r.choice(["LICENSE", "COPYING.txt"]) if k % 7 == 0 else f"f{k}.py"
+        rows.append((k, r.choice(folders[k % 7 == 0 :]) + (f"x{k}/" if k % 7 == 0 and k % 2 else "") + name, full[r.choice(sorted(full))] if k % 21 == 0 else text))
+    rows += [rows[1], rows[1], (90, None, notes[0]), (None, "a/z.py", notes[5]), (91, "a/b/empty.py", "")]
+    df = spark.createDataFrame(rows, "file_id long, path string, text string").withColumns({c: F.lit("clash") for c in ("license", "kind", "n", "dir", "k", "template")})
+    name = F.element_at(F.split("path", "/"), -1)
+    units = df.withColumn("lic", F.coalesce(name.rlike(licenses.LICENCE_FILE), F.lit(False))).where(F.col("text").rlike(licenses.NAMES_ONE))
+    units = units.select("file_id", "path", F.explode(licenses._units(F.col("text"), F.col("lic"))).alias("u")).select("file_id", "path", "u.*").collect()
+
+    terms = lambda t: re.findall(r"[^\W_]+(?:[.-][^\W_]+)*", t.lower())
+    templates = [(kind, licence, Counter(terms(text))) for kind, licence, text in licenses._texts()]
+    df_of = {kind: Counter(t for k, _, c in templates if k == kind for t in c) for kind in ("notice", "full")}
+    number = {kind: sum(k == kind for k, _, _ in templates) for kind in df_of}
+    idf = lambda kind, t: math.log((1 + number[kind]) / (1 + df_of[kind][t])) + 1
+    length = lambda kind, c: math.sqrt(sum((n * idf(kind, t)) ** 2 for t, n in c.items()))
+    best: dict = {}
+    for u in units:
+        own = Counter(terms(u["notice"]))
+        for kind, licence, c in templates:
+            if kind != u["kind"] or not own:
+                continue
+            dot = sum(n * idf(kind, t) * c[t] * idf(kind, t) for t, n in own.items() if t in c)
+            score = round(dot / (length(kind, own) * length(kind, c)), 6)
+            if score >= (licenses.LEAST_FULL if kind == "full" else licenses.LEAST):
+                rank = 2 if licence == licenses.RESERVED else 0 if u["whole"] else 1
+                key = (u["file_id"], u["path"])
+                best[key] = min(best.get(key, (9,)), (rank, -score, -sum(c.values()), licence))
+    given: dict = {}
+    for (_, path), found in best.items():
+        if path and re.search(licenses.LICENCE_FILE, path.split("/")[-1]):
+            d = path.rpartition("/")[0]
+            given[d] = min(given.get(d, (9,)), (found[0], found[1], path, found[3]))
+    want = []
+    for i, path, _ in rows:
+        if (i, path) in best:
+            found = best[i, path]
+            want.append((i, path, found[3], -found[1], "own", path))
+            continue
+        up = None
+        if path is not None:
+            d = path.rpartition("/")[0].split("/") if "/" in path else []
+            up = next((given["/".join(d[:k])] for k in range(len(d), -1, -1) if "/".join(d[:k]) in given), None)
+        want.append((i, path, up[3], -up[1], "inherited", up[2]) if up else (i, path, None, None, "none", None))
+    got = [tuple(x) for x in licenses.scan_licenses(df).collect()]
+    assert {x[4] for x in want} == {"own", "inherited", "none"}
+    assert sorted(map(str, [(*x[:3], x[4], x[5]) for x in got])) == sorted(map(str, [(*x[:3], x[4], x[5]) for x in want]))
+    scores = {(x[0], x[1]): x[3] for x in want}
+    assert all(x[3] == pytest.approx(scores[x[0], x[1]], abs=2e-6) if x[3] is not None else scores[x[0], x[1]] is None for x in got)
+    assert licenses.scan_licenses(licenses.as_files(odd.withColumn("source", F.lit("s")))).count() == len(ODD)
+    assert licenses.scan_licenses(licenses.as_files(none.withColumn("source", F.lit("s")))).count() == 0
+
+
+def test_tokens_of_odd_rows(spark, odd, none):
+    import sentencepiece
+
+    model, words = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
+    sp = sentencepiece.SentencePieceProcessor(model_file=model)
+    clash = odd.withColumns({c: F.lit(1) for c in ("n_tokens", "ids", "start", "length", "task", "sequence_id", "_r")})
+    got = [(r["doc_id"], r["n_tokens"], r["decoded_sha256"]) for r in tokens.encode_digest(clash, model).collect()]
+    want = [(i, len(sp.encode(t or "")) + 1, hashlib.sha256(sp.decode(sp.encode(t or "")).encode()).hexdigest()) for i, t, *_ in ODD]
+    assert sorted(got, key=str) == sorted(want, key=str) and tokens.encode_digest(none, model).count() == 0
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(words)
+    packed = packing.pack_documents(clash, words).collect()
+    sizes = sorted(str((i, len(t.encode(x or "", add_special_tokens=False).ids) + 1)) for i, x, *_ in ODD)
+    assert sorted(str((r["doc_id"], r["doc_tokens"])) for r in packed if r["start"] == 0) == sizes
+    assert sum(r["length"] for r in packed) == sum(r["doc_tokens"] for r in packed if r["start"] == 0)
+
+
+def test_packing_leaves_little_room(spark):
+    r, v = random.Random(31), vocabulary(31)
+    df = spark.createDataFrame([(i, " ".join(r.choices(v, k=r.randint(1, 900)))) for i in range(400)], "doc_id long, text string")
+    got = packing.pack_documents(df, public_tokenizers.path("word_bpe_49k.json"))
+    n, ids = got.select("sequence_id").distinct().count(), got.agg(F.sum("length")).first()[0]
+    assert ids > 0.99 * 2048 * (n - 1) and got.agg(F.max("sequence_id")).first()[0] == n - 1
+
+
+def test_warc_odd_rows(spark):
+    long = "y" * 1500
+    rows = [(None, "u", long), (1, None, long), (2, "u", long), (2, "u", long), (3, "u", None), (None, None, None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("clash") for c in ("payload", "file", "split", "offset", "head", "body", "last")})
+    for how in ("none", "gzip"):
+        got = sorted(((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.warc_digest(df, how).collect()), key=str)
+        assert got == sorted([(None, 1500, "response", None), (1, 1500, "revisit", 2), (2, 1500, "response", None), (2, 1500, "response", None), (3, 0, "response", None), (None, 0, "response", None)], key=str)
+        assert warc.warc_digest(df.limit(0), how).count() == 0
+
+
+def test_chat_odd_rows(spark):
+    rows = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (None, 0, "assistant", "x"), (2, None, None, None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({c: F.lit("clash") for c in ("content", "t", "at", "held", "body", "before")})
+    got = {r["conv_id"]: (r["n_turns"], r["loss_chars"]) for r in chat.chat_digest(df).collect()}
+    assert got == {1: (2, 0), None: (1, 1), 2: (1, 0), -7: (2, 21)}
+    assert [r["conv_id"] for r in chat.chat_digest(df.limit(0)).collect()] == [-7]
+
+
+def test_toxicity_of_contradicting_labels(spark):
+    df = spark.createDataFrame([(i, "good words here" if i % 2 else "bad words here") for i in range(60)] + [(1, "other text")], "doc_id long, text string").withColumns({c: F.lit(0) for c in ("p_toxic", "words", "y0", "rejected")})
+    rows = [(i, 1, 1 - i % 2) for i in range(60)] + [(1, 0, 1), (1, 1, 0), (2, None, 0)]
+    one = toxicity.toxic_documents(df, spark.createDataFrame(rows, "doc_id long, quality int, toxic int")).collect()
+    two = toxicity.toxic_documents(df, spark.createDataFrame(rows[::-1], "doc_id long, quality int, toxic int").repartition(5)).collect()
+    assert sorted(map(str, one)) == sorted(map(str, two)) and len(one) == 61  # whatever the order of the labels
+    assert toxicity.drop_toxic(df, spark.createDataFrame(rows, "doc_id long, quality int, toxic int")).columns == df.columns
