@@ -34,7 +34,7 @@ from skyquilt.plans.scratch import Scratch
 ROWS, BANDS = 7, 40
 BINS = ROWS * BANDS
 #: Shingles in a block of a cluster.
-BLOCK = 2_000_000
+BLOCK = 500_000
 #: Documents whose bands meet before the shuffle.
 SLICE = 2_000
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], dtype=np.uint64)
