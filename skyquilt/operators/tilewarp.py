@@ -113,36 +113,44 @@ def cells_of_windows(windows: DataFrame, cells: DataFrame, raster_id) -> DataFra
     return held.join(keyed, ["_br", "_bc"]).where(inside).select("tile_id", "row", "col", "value")
 
 
+def _axis(low: str, high: str, step: int) -> Column:
+    """low, low + step and so on below high, and high - 1."""
+    return F.array_distinct(F.concat(F.sequence(F.col(low), F.col(high) - 1, F.lit(step).cast("bigint")), F.array(F.col(high) - 1)))
+
+
 def sparse_nodes(windows: DataFrame, step: int) -> DataFrame:
     """tile_id, samp and line of every ``step``-th pixel of each window and of its last row and column."""
-    axis = lambda a, b: F.array_distinct(F.concat(F.sequence(F.col(a), F.col(b) - 1, F.lit(step).cast("bigint")), F.array(F.col(b) - 1)))
-    rows = windows.where("c0 < c1 and r0 < r1").select("tile_id", F.explode(axis("c0", "c1")).alias("samp"), "r0", "r1")
-    rows = rows.select("tile_id", "samp", F.explode(axis("r0", "r1")).alias("line"))
+    rows = windows.where("c0 < c1 and r0 < r1").select("tile_id", F.explode(_axis("c0", "c1", step)).alias("samp"), "r0", "r1")
+    rows = rows.select("tile_id", "samp", F.explode(_axis("r0", "r1", step)).alias("line"))
     return rows.select("tile_id", *(F.col(c).cast("double").alias(c) for c in ("samp", "line")))
 
 
 def dense_warp(windows: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
     """tile_id, row, col, x and y of every pixel of each window, between the four sparse ``nodes`` (with x and y) around it.
 
-    A tile with a node that isn't finite has no rows.
+    A tile with a node that isn't finite has no rows. The mesh's fields get their four corners by a join, the pixels of a field
+    are made from them without one.
     """
     bad = nodes.where(~(is_finite(F.col("x")) & is_finite(F.col("y")))).select("tile_id").distinct()
-    grid = windows.where("c0 < c1 and r0 < r1").join(bad, "tile_id", "left_anti").select("tile_id", "c0", "r0", "c1", "r1", F.explode(F.expr("sequence(r0, r1 - 1)")).alias("row"))
-    grid = grid.select("*", F.explode(F.expr("sequence(c0, c1 - 1)")).alias("col"))
-
-    def ends(at: str, low: str, high: str) -> tuple[Column, Column]:
-        # The last node is the window's last pixel, which may be less than a step away.
-        a = F.least(F.col(low) + F.floor((F.col(at) - F.col(low)) / step) * step, F.greatest(F.col(high) - 2, F.col(low)))
-        a = F.col(low) + F.floor((a - F.col(low)) / step) * step
-        return a, F.least(a + step, F.col(high) - 1)
-
-    (ra, rb), (ca, cb) = ends("row", "r0", "r1"), ends("col", "c0", "c1")
-    part = lambda at, a, b: F.when(b > a, (F.col(at) - a) / (b - a)).otherwise(F.lit(0.0))
-    fr, fc = part("row", ra, rb), part("col", ca, cb)
-    corner = lambda r, c, w: F.struct(r.cast("double").alias("line"), c.cast("double").alias("samp"), w.alias("w"))
-    four = F.array(corner(ra, ca, (1 - fr) * (1 - fc)), corner(ra, cb, (1 - fr) * fc), corner(rb, ca, fr * (1 - fc)), corner(rb, cb, fr * fc))
-    parts = grid.select("tile_id", "row", "col", F.inline(four)).join(nodes.select("tile_id", "line", "samp", "x", "y").distinct(), ["tile_id", "line", "samp"])
-    return parts.groupBy("tile_id", "row", "col").agg(F.sum(F.col("x") * F.col("w")).alias("x"), F.sum(F.col("y") * F.col("w")).alias("y"))
+
+    def spans(low: str, high: str) -> Column:
+        # From each node to the next; the last one holds the window's last pixel too, and is the only one of a single node.
+        n = F.array_sort(_axis(low, high, step))
+        pairs = F.arrays_zip(F.slice(n, 1, F.greatest(F.size(n) - 1, F.lit(1))).alias("a"), F.slice(n, F.least(F.size(n), F.lit(2)), F.greatest(F.size(n) - 1, F.lit(1))).alias("b"))
+        return F.transform(pairs, lambda p: F.struct(p["a"].alias("a"), p["b"].alias("b"), F.when(p["b"] == F.col(high) - 1, p["b"]).otherwise(p["b"] - 1).alias("last")))
+
+    field = windows.where("c0 < c1 and r0 < r1").join(bad, "tile_id", "left_anti").select("tile_id", "c0", "c1", F.explode(spans("r0", "r1")).alias("r"))
+    field = field.select("tile_id", "r", F.explode(spans("c0", "c1")).alias("c"))
+    corner = lambda k, r, c: F.struct(F.lit(k).alias("k"), r.cast("double").alias("line"), c.cast("double").alias("samp"))
+    four = F.array(*(corner(k, F.col(f"r.{i}"), F.col(f"c.{j}")) for k, (i, j) in enumerate((i, j) for i in "ab" for j in "ab")))
+    met = field.select("tile_id", "r", "c", F.inline(four)).join(nodes.select("tile_id", "line", "samp", "x", "y").distinct(), ["tile_id", "line", "samp"])
+    key = ["tile_id", F.col("r.a").alias("ra"), F.col("r.b").alias("rb"), F.col("r.last").alias("rl"), F.col("c.a").alias("ca"), F.col("c.b").alias("cb"), F.col("c.last").alias("cl")]
+    field = met.groupBy(*key).agg(*(F.max(F.when(F.col("k") == k, F.col(v))).alias(f"{v}{k}") for v in "xy" for k in range(4)))
+    pixels = field.withColumn("row", F.explode(F.expr("sequence(ra, rl)"))).withColumn("col", F.explode(F.expr("sequence(ca, cl)")))
+    part = lambda at, a, b: F.when(F.col(b) > F.col(a), (F.col(at) - F.col(a)) / (F.col(b) - F.col(a))).otherwise(F.lit(0.0))
+    fr, fc = part("row", "ra", "rb"), part("col", "ca", "cb")
+    mixed = lambda v: F.col(f"{v}0") * (1 - fr) * (1 - fc) + F.col(f"{v}1") * (1 - fr) * fc + F.col(f"{v}2") * fr * (1 - fc) + F.col(f"{v}3") * fr * fc
+    return pixels.select("tile_id", "row", "col", mixed("x").alias("x"), mixed("y").alias("y"))
 
 
 def remap(points: DataFrame, cells: DataFrame) -> DataFrame:
