@@ -129,9 +129,10 @@ def dense_warp(windows: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
     """tile_id, row, col, x and y of every pixel of each window, between the four sparse ``nodes`` (with x and y) around it.
 
     A tile with a node that isn't finite has no rows. The mesh's fields get their four corners by a join, the pixels of a field
-    are made from them without one.
+    are made from them without one. Joins are sorted ones: Spark takes what is exploded from few windows for few rows, and would
+    send all nodes through the driver.
     """
-    bad = nodes.where(~(is_finite(F.col("x")) & is_finite(F.col("y")))).select("tile_id").distinct()
+    bad = nodes.where(~(is_finite(F.col("x")) & is_finite(F.col("y")))).select("tile_id").distinct().hint("merge")
 
     def spans(low: str, high: str) -> Column:
         # From each node to the next; the last one holds the window's last pixel too, and is the only one of a single node.
@@ -143,7 +144,7 @@ def dense_warp(windows: DataFrame, nodes: DataFrame, step: int) -> DataFrame:
     field = field.select("tile_id", "r", F.explode(spans("c0", "c1")).alias("c"))
     corner = lambda k, r, c: F.struct(F.lit(k).alias("k"), r.cast("double").alias("line"), c.cast("double").alias("samp"))
     four = F.array(*(corner(k, F.col(f"r.{i}"), F.col(f"c.{j}")) for k, (i, j) in enumerate((i, j) for i in "ab" for j in "ab")))
-    met = field.select("tile_id", "r", "c", F.inline(four)).join(nodes.select("tile_id", "line", "samp", "x", "y").distinct(), ["tile_id", "line", "samp"])
+    met = field.select("tile_id", "r", "c", F.inline(four)).join(nodes.select("tile_id", "line", "samp", "x", "y").distinct().hint("merge"), ["tile_id", "line", "samp"])
     key = ["tile_id", F.col("r.a").alias("ra"), F.col("r.b").alias("rb"), F.col("r.last").alias("rl"), F.col("c.a").alias("ca"), F.col("c.b").alias("cb"), F.col("c.last").alias("cl")]
     field = met.groupBy(*key).agg(*(F.max(F.when(F.col("k") == k, F.col(v))).alias(f"{v}{k}") for v in "xy" for k in range(4)))
     pixels = field.withColumn("row", F.explode(F.expr("sequence(ra, rl)"))).withColumn("col", F.explode(F.expr("sequence(ca, cl)")))

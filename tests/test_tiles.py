@@ -53,6 +53,14 @@ def test_dense_warp_against_numpy(spark):
     assert {r["tile_id"] for r in tilewarp.dense_warp(windows, bad, 6).collect()} == {2}
 
 
+def test_dense_warp_sends_no_nodes_through_the_driver(spark):
+    """Few windows are many nodes, which Spark doesn't know."""
+    windows = spark.range(10).selectExpr("id as tile_id", "0L as c0", "0L as r0", "9L as c1", "9L as r1")
+    nodes = tilewarp.sparse_nodes(windows, 4).selectExpr("*", "samp as x", "line as y")
+    out = tilewarp.dense_warp(windows, nodes, 4)
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString() and out.count() == 810
+
+
 def test_reference_windows_by_hand(spark):
     rows = spark.createDataFrame([(1, 100.0, 100.0, 300.0, 200.0), (2, -5000.0, 0.0, -4000.0, 10.0)], "id long, x0 double, y0 double, x1 double, y1 double")
     got = {r["id"]: (r["col_off"], r["row_off"], r["win_w"], r["win_h"]) for r in tilewarp.reference_windows(rows, (0.0, 400.0), (3.0, -3.0), 80, 90, 20.0).collect()}
