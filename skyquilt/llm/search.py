@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ K1, B = 1.2, 0.75
 BLOCK = 64
 #: Documents of a shard, on average.
 SHARD = 10_000
+#: Queries of a round, at most on average: what is shipped to a shard at once.
+ROUND = 4096
 #: Pivots that are scored together, and queries whose dense part is.
 RUN, QUERIES = 64, 64
 #: A term is dense if it is in this share of a shard's documents; at most so many are.
@@ -269,8 +272,8 @@ def top_k(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     fewer than k documents that share a word give fewer rows. Rows that repeat a doc_id are documents of their own; as
     a query such a doc_id stands for its smallest text.
 
-    Texts become terms and counts once. Each query's terms go to every shard, so that what is shipped for the search is the
-    number of queries times that of shards.
+    Texts become terms and counts once. Each query's terms go to every shard, in rounds of about ROUND queries: what lies in a
+    shuffle at once grows with the number of shards, not with that times the number of queries. Each round builds the shards anew.
     """
     spark = documents.sparkSession
     scratch = Scratch(spark)
@@ -287,13 +290,22 @@ def top_k(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     shards = max(1, -(-n // SHARD))
     no, none = F.lit(False).alias("query"), lambda kind, name: F.lit(None).cast(kind).alias(name)
     rows = docs.select(F.pmod(F.xxhash64("doc_id", "salt"), F.lit(shards)).cast("int").alias("shard"), no, F.col("doc_id").alias("id"), "words", "terms", "tf", none("array<long>", "keys"), none("array<double>", "weights"))
-    each = weighed.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("query"), F.col("query_id").alias("id"), none("long", "words"), none("binary", "terms"), none("binary", "tf"), "keys", "weights")
-    # More partitions than shards, so that few of them get several.
-    found = rows.unionByName(each).repartition(3 * shards, "shard").sortWithinPartitions("shard", "query")
-    found = found.mapInArrow(_search(words / max(n, 1), k), "query_id long, doc_id long, score double")
+    rounds = max(1, -(-weighed.count() // ROUND))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "doc_id", "score")
+
+    def found(own: DataFrame) -> DataFrame:
+        each = own.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("query"), F.col("query_id").alias("id"), none("long", "words"), none("binary", "terms"), none("binary", "tf"), "keys", "weights")
+        # More partitions than shards, so that few of them get several.
+        dealt = rows.unionByName(each).repartition(3 * shards, "shard").sortWithinPartitions("shard", "query")
+        best = dealt.mapInArrow(_search(words / max(n, 1), k), "query_id long, doc_id long, score double")
+        ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        return ranked.select("query_id", "rank", "doc_id", "score")
+
+    if rounds == 1:
+        return found(weighed)
+    # Written one by one, so that a round's shuffle goes before the next one's comes.
+    parts = [scratch.save(found(weighed.where(F.pmod(F.xxhash64("query_id"), F.lit(rounds)) == at))) for at in range(rounds)]
+    return reduce(DataFrame.unionByName, parts)
 
 
 #: DuckDB: every document that shares a word with a query is scored. Scores that agree to nine places are ties.

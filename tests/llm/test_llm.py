@@ -292,6 +292,17 @@ def test_search_against_brute_force(spark, odd, none, monkeypatch):
     assert all(x["doc_id"] != x["query_id"] and x["count"] == 1 + (x["doc_id"] == 3) for x in got) and {x["query_id"] for x in got} == {3, 4}
 
 
+def test_search_in_rounds(spark, monkeypatch):
+    """More queries than go to all shards at once give the same rows, each round's for itself."""
+    r, v, made, run = random.Random(12), vocabulary(12, 80), [], search._search
+    df = spark.createDataFrame([(i, " ".join(r.choices(v, k=20))) for i in range(60)], "doc_id long, text string")
+    monkeypatch.setattr(search, "SHARD", 30)
+    monkeypatch.setattr(search, "_search", lambda *a: made.append(a) or run(*a))
+    want = sorted(search.top_k(df, df.where("doc_id % 6 = 0"), 5).collect())
+    monkeypatch.setattr(search, "ROUND", 4, raising=False)
+    assert sorted(search.top_k(df, df.where("doc_id % 6 = 0"), 5).collect()) == want and len(want) == 50 and len(made) == 1 + 3
+
+
 def test_blocks_are_skipped(monkeypatch):
     monkeypatch.setattr(search, "BLOCK", 2)
     monkeypatch.setattr(search, "RUN", 1)
