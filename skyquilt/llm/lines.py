@@ -31,6 +31,8 @@ ROWS, PLACES, BANDS = 4, 32, 16
 #: Shingles that the runs of a long line take.
 TAKE = PLACES + ROWS - 1
 PER_CENT = 80
+#: Numbers of a sketch.
+SKETCH = 8
 #: Lines of a block, on average: two blocks are compared by one task.
 BLOCK = 256
 #: Rows of a few numbers that are broadcast at most; more are shuffled. It is low, so that all but small tables go the same way.
@@ -97,39 +99,62 @@ def _near(n: str, m: str) -> Column:
     return F.least(n, m) * 100 >= F.greatest(n, m) * PER_CENT
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) of nodes those whose shingle sets have a Jaccard of PER_CENT at least; ``texts``: node, norm, n.
+def sketches(texts: DataFrame) -> DataFrame:
+    """node, n (how many shingles) and a sketch of the set of shingles: SKETCH numbers of 64 bits, a shingle setting one of them all."""
+    each = texts.select("node", F.explode(F.array_distinct(shingles(F.col("norm")))).alias("h"))
+    bit = lambda k: F.expr(f"bit_or(if(shiftrightunsigned(h, 6) % {SKETCH} = {k}, shiftleft(1L, cast(h & 63 as int)), 0L))").alias(f"s{k}")
+    return each.groupBy("node").agg(F.count("*").cast("int").alias("n"), *(bit(k) for k in range(SKETCH)))
 
-    Texts travel, as they are an eighth of their shingles, which are made where a pair meets.
+
+def _close(x: str, y: str) -> Column:
+    """Whether two sets may be similar by their sizes and sketches; it is never false for sets that are.
+
+    Each bit in which sketches differ is a shingle that only one set has, and similar sets have few of those.
+    """
+    differ = sum((F.bit_count(F.col(f"s{k}_{x}").bitwiseXOR(F.col(f"s{k}_{y}"))) for k in range(1, SKETCH)), F.bit_count(F.col(f"s0_{x}").bitwiseXOR(F.col(f"s0_{y}"))))
+    return _near(f"n_{x}", f"n_{y}") & (differ * (100 + PER_CENT) <= (F.col(f"n_{x}") + F.col(f"n_{y}")) * (100 - PER_CENT))
+
+
+def _alike() -> Column:
+    """The exact comparison of norm_x and norm_y, whose shingles are only made where it is asked for."""
+    both = F.size(F.array_intersect(shingles(F.col("norm_x")), shingles(F.col("norm_y"))))
+    return _let(both, lambda k: _similar(k, "n_x", "n_y"))
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, sketch: DataFrame) -> DataFrame:
+    """Of the pairs (a, b) of nodes those whose shingle sets have a Jaccard of PER_CENT at least; ``texts``: node, norm.
+
+    Texts travel for pairs whose sketches are close, as they are an eighth of their shingles, which are made where a pair meets.
     """
-    left = texts.select(F.col("node").alias("a"), F.col("norm").alias("x"), F.col("n").alias("nx"))
-    right = texts.select(F.col("node").alias("b"), F.col("norm").alias("y"), F.col("n").alias("ny"))
-    met = pairs.join(left, "a").join(right, "b").where(_near("nx", "ny"))
-    met = met.select("a", "b", "nx", "ny", shingles(F.col("x")).alias("x"), shingles(F.col("y")).alias("y"))
-    met = met.select("a", "b", "nx", "ny", F.size(F.array_intersect("x", "y")).alias("both"))
-    return met.where(_similar(F.col("both"), "nx", "ny")).select("a", "b")
+    x, y = (sketch.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{side}") for c in sketch.columns[1:])) for end, side in (("a", "x"), ("b", "y")))
+    near = pairs.join(x, "a").join(y, "b").where(_close("x", "y")).select("a", "b", "n_x", "n_y")
+    x, y = (texts.select(F.col("node").alias(end), F.col("norm").alias(f"norm_{side}")) for end, side in (("a", "x"), ("b", "y")))
+    return near.join(x, "a").join(y, "b").where(_alike()).select("a", "b")
 
 
-def _across(open_: DataFrame, texts: DataFrame) -> DataFrame:
-    """Links (a, b) between lines of one bucket and different components; ``open_``: key, node, c.
+def _across(open_: DataFrame, texts: DataFrame, sketch: DataFrame) -> DataFrame:
+    """Links (a, b) between lines of one bucket and different components; ``open_``: key, node, c and c0.
 
     A pair is compared in the smallest of the keys that it shares. A bucket's lines are dealt to blocks of about BLOCK,
-    and each two blocks meet once.
+    and each two blocks meet once. Lines outside the bucket's largest component c0 are first asked whether they are like any line
+    of it, which gives a row for each line and block, not for each pair; then they are compared among themselves.
     """
     blocks = open_.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("m"))
     keys = open_.groupBy("node").agg(F.collect_set("key").alias("keys"))  # at most BANDS
-    rows = open_.join(blocks, "key").join(keys.join(texts, "node"), "node")
+    rows = open_.join(blocks, "key").join(keys.join(texts, "node").join(sketch, "node"), "node")
     rows = rows.withColumn("i", F.pmod(F.xxhash64("node"), F.col("m")).cast("int"))
     two = F.transform(F.sequence(F.lit(0), F.col("m") - 1), lambda j: F.struct(F.least("i", j).alias("lo"), F.greatest("i", j).alias("hi")))
-    rows = rows.select("key", F.inline(two), "i", "node", "c", "n", "keys", "norm").repartition("key", "lo", "hi")
-    rows = rows.select("key", "lo", "hi", "i", "node", "c", "n", "keys", shingles(F.col("norm")).alias("h"))
-    x, y = (rows.select("key", "lo", "hi", *(F.col(c).alias(f"{c}_{side}") for c in ("i", "node", "c", "n", "keys", "h"))) for side in "xy")
-    first = F.array_min(F.array_intersect("keys_x", "keys_y")) == F.col("x.key")
-    alike = _similar(F.size(F.array_intersect("h_x", "h_y")), "n_x", "n_y")
+    rows = rows.select("key", F.inline(two), "i", "node", "c", "c0", "keys", "norm", *sketch.columns[1:])
+    side = lambda rows, end: rows.repartition("key", "lo", "hi").select("key", "lo", "hi", *(F.col(c).alias(f"{c}_{end}") for c in rows.columns[3:])).alias(end)
     same = F.expr("x.key = y.key and x.lo = y.lo and x.hi = y.hi")
+    first = F.array_min(F.array_intersect("keys_x", "keys_y")) == F.col("x.key")
+    alike = _close("x", "y") & first & _alike()
+    out, within = rows.where("c <> c0"), rows.where("c = c0")
+    apart = F.expr("x.lo = x.hi or i_x <> i_y")
+    joined = side(out, "x").join(side(within, "y"), same & apart & alike, "left_semi").select(F.col("c0_x").alias("p"), F.col("node_x").alias("q"))
     once = F.expr("if(x.lo < x.hi, i_x = x.lo and i_y = x.hi, node_x < node_y)")
-    met = x.alias("x").join(y.alias("y"), same & once & (F.col("c_x") != F.col("c_y")) & _near("n_x", "n_y") & first & alike)
-    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
+    met = side(out, "x").join(side(out, "y"), same & once & (F.col("c_x") != F.col("c_y")) & alike).select(F.col("node_x").alias("p"), F.col("node_y").alias("q"))
+    return joined.union(met).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
 
 
 def _components(signed: DataFrame, lines: DataFrame, scratch: Scratch) -> DataFrame:
@@ -141,14 +166,16 @@ def _components(signed: DataFrame, lines: DataFrame, scratch: Scratch) -> DataFr
     buckets = scratch.save(rows.join(_small(shared), "key").select("key", "node", "hub").distinct())
     wanted = scratch.save(buckets.select("node").distinct())
     found = lines.select("node", "norm").join(_small(wanted), "node", "left_semi").dropDuplicates(["node"])
-    texts = scratch.save(found.select("node", "norm", F.size(F.array_distinct(shingles(F.col("norm")))).alias("n")))
+    texts = scratch.save(found)
+    sketch = scratch.save(sketches(texts))
     stars = buckets.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    links = scratch.save(confirmed(stars, texts))
+    links = scratch.save(confirmed(stars, texts, sketch))
     label = connected_components(links)
     held = scratch.save(buckets.select("key", "node").join(label, "node", "left").select("key", "node", F.coalesce("component", "node").alias("c")))
-    mixed = held.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-    more = scratch.save(_across(scratch.save(held.join(mixed, "key")), texts))
-    scratch.drop(shared, buckets, wanted, texts, held)
+    parts = held.groupBy("key", "c").agg(F.count("*").alias("m"))
+    mixed = parts.groupBy("key").agg(F.max_by("c", "m").alias("c0"), F.count("*").alias("parts")).where("parts > 1").select("key", "c0")
+    more = scratch.save(_across(scratch.save(held.join(mixed, "key")), texts, sketch))
+    scratch.drop(shared, buckets, wanted, texts, sketch, held)
     return connected_components(links.union(more))
 
 

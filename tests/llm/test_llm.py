@@ -213,6 +213,14 @@ def test_lines_that_share_a_passage(spark, monkeypatch):
     assert not_kept(spark.createDataFrame(rows, "doc_id long, text string")) == line_groups(rows)
 
 
+def test_a_line_is_linked_once_with_a_large_component(spark):
+    """31 lines of one bucket that are all alike, 30 of them one component: a row for the other, not 30."""
+    text = "the quick brown fox jumps over the lazy dog and runs far away from here, number "
+    texts = spark.createDataFrame([(k, f"{text}{k:02}") for k in range(31)], "node long, norm string")
+    open_ = texts.selectExpr("5L as key", "node", "if(node = 30, 30L, 0L) as c", "0L as c0")
+    assert [tuple(r) for r in lines._across(open_, texts, lines.sketches(texts)).collect()] == [(0, 30)]
+
+
 def test_lines_repetitive_of_differing_length(spark):
     pairs = [("=" * 40, "=" * 80), ("| --- " * 6, "| --- " * 12), ("buy now! " * 5, "buy now! " * 30), ("-" * 20, "-" * 100), ("ab" * 30, "ab" * 200)]
     df = spark.createDataFrame([(k, "\n".join(own)) for k, own in enumerate(zip(*pairs, strict=True))], "doc_id long, text string")
