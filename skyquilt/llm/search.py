@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyquilt.plans.scratch import Scratch
+from skyquilt.plans.scratch import Scratch, batches_of
 
 K1, B = 1.2, 0.75
 BLOCK = 64
@@ -40,6 +40,10 @@ RUN, QUERIES = 64, 64
 DENSE, MOST_DENSE = 1 / 32, 512
 #: By which share a sum in single precision may be wrong, and more.
 SLACK = 1e-4
+#: Rows that a Python worker is sent at once. Batches are held whole, on both sides, beside what is made of them.
+ROWS = 512
+#: Terms of a shard whose impacts are worked out together.
+PART = 1 << 18
 #: Terms that are counted together before they are shuffled.
 COUNTED = 2_000_000
 _WORD = re.compile(r"\w+")
@@ -100,45 +104,65 @@ def _ranges(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """The inverted index of some documents: their ids and words, how many terms each has, and all terms and counts in a row."""
+    """The inverted index of some documents: their ids and words, how many terms each has, and all terms and counts in a row.
 
-    def __init__(self, ids: np.ndarray, words: np.ndarray, sizes: np.ndarray, terms: np.ndarray, counts: np.ndarray, mean: float):
+    ``terms`` may be a list of arrays, which is emptied, so that nothing else holds them while the index is built.
+    """
+
+    def __init__(self, ids: np.ndarray, words: np.ndarray, sizes: np.ndarray, terms: np.ndarray | list[np.ndarray], counts: np.ndarray, mean: float):
         # What is as long as all terms is dropped as soon as it can be: a worker's memory is that of its shard's building.
         self.ids, n = ids, len(ids)
+        if isinstance(terms, list):
+            held, terms = terms, np.concatenate(terms)
+            held.clear()
         by = np.argsort(terms, kind="stable").astype(np.int32)
         terms = terms[by]
         new = np.concatenate(([True], terms[1:] != terms[:-1]))[: len(terms)]
         self.terms = terms[new]
         del terms
         term = np.cumsum(new, dtype=np.int32) - np.int32(1)
-        # The forward index: each document's terms, by their number, and impacts.
+        # The forward index: each document's terms, by their number, and counts, of which impacts are made when they are asked for.
         self.held, self.begin = np.empty(len(by), np.int32), np.append(0, np.cumsum(sizes))
         self.held[by] = term
         where = np.repeat(np.arange(n, dtype=np.int32), sizes)
-        self.exact = counts.astype(float)
-        self.exact *= (K1 + 1) / (self.exact + (K1 * (1 - B + B * words / max(mean, 1e-9)))[where])
+        self.counts, self.norm = counts, K1 * (1 - B + B * words / max(mean, 1e-9))
         self.weight = np.zeros(len(self.terms))
         self.blocks = max(1, -(-n // BLOCK))
         df = np.bincount(term, minlength=len(self.terms))
         often = np.argsort(-df, kind="stable")[:MOST_DENSE]
         often = often[df[often] >= max(2, DENSE * n)]
-        self.column = np.full(len(self.terms), -1, np.int32)
+        self.column = np.full(len(self.terms), -1, np.int16)
         self.column[often] = np.arange(len(often))
-        at = self.column[term]
         self.dense = np.zeros((len(often), self.blocks * BLOCK), np.float32)
-        full = by[at >= 0]
-        self.dense[at[at >= 0], where[full]] = self.exact[full]
+        full = np.empty(len(term), bool)
+        for a in range(0, len(term), PART):
+            at = self.column[term[a : a + PART]]
+            full[a : a + PART] = at >= 0
+            place = by[a : a + PART][at >= 0]
+            self.dense[at[at >= 0], where[place]] = self._exact(place, where[place])
         # The postings of the other terms, by term and document.
-        rest, term = by[at < 0], term[at < 0]
-        del by, at, full
-        self.doc, self.impact = where[rest], self.exact[rest].astype(np.float32)
-        del rest, where
-        block = self.doc // np.int32(BLOCK)
+        rest, term = by[~full], term[~full]
+        del by, full
+        self.doc, self.impact = where[rest], np.empty(len(rest), np.float32)
+        del where
+        for a in range(0, len(rest), PART):
+            self.impact[a : a + PART] = self._exact(rest[a : a + PART], self.doc[a : a + PART])
+        del rest
+        block = (self.doc // np.int32(BLOCK)).astype(np.uint16 if self.blocks < 1 << 16 else np.int32)
         cut = np.concatenate(([True], (term[1:] != term[:-1]) | (block[1:] != block[:-1])))[: len(term)]
-        self.cut = np.append(np.flatnonzero(cut), len(term))
-        self.top = np.maximum.reduceat(self.impact, self.cut[:-1]) if len(term) else np.empty(0, np.float32)
-        self.block = block[self.cut[:-1]].astype(np.uint16 if self.blocks < 1 << 16 else np.int32)
-        self.first = np.searchsorted(term[self.cut[:-1]], np.arange(len(self.terms) + 1))
+        self.block = block[cut]
+        del block
+        # Numbers of one kind, as others would be copied to be searched.
+        self.first = np.searchsorted(term[cut], np.arange(len(self.terms) + 1, dtype=np.int32))
+        del term
+        self.cut = np.append(np.flatnonzero(cut), len(cut)).astype(np.int32)
+        del cut
+        self.top = np.maximum.reduceat(self.impact, self.cut[:-1]) if len(self.impact) else np.empty(0, np.float32)
+
+    def _exact(self, place: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        """The impacts of the terms at these places of the forward index, which are those of ``doc``."""
+        tf = self.counts[place].astype(float)
+        return tf * ((K1 + 1) / (tf + self.norm[doc]))
 
     def search(self, queries: list[tuple[int, np.ndarray, np.ndarray]], k: int) -> list[tuple[int, int, float]]:
         """(query, document, score) of the k best documents but the query's own for each (query, terms, weights), best first, ties by id.
@@ -173,7 +197,7 @@ class Shard:
         some = n > 0
         scores = np.zeros(len(docs))
         if some.any():
-            scores[some] = np.add.reduceat(self.weight[self.held[place]] * self.exact[place], (np.cumsum(n) - n)[some])
+            scores[some] = np.add.reduceat(self.weight[self.held[place]] * self._exact(place, np.repeat(docs, n)), (np.cumsum(n) - n)[some])
         self.weight[at] = 0
         return scores
 
@@ -228,13 +252,14 @@ def _search(mean: float, k: int):
         shard, held, index = None, [], None
 
         def build() -> Shard:
-            ids, words, terms = (np.concatenate([f(x) for x in held]) for f in (lambda x: x.column(2).to_numpy(), lambda x: x.column(3).to_numpy(), lambda x: _flat(x.column(4), np.int64)))
+            ids, words = (np.concatenate([x.column(c).to_numpy() for x in held]) for c in (2, 3))
             sizes = np.concatenate([_lengths(x.column(4)) for x in held]) // 8
             wide = np.concatenate([_lengths(x.column(5)) for x in held]) == 4 * sizes
             if wide[sizes > 0].any():
                 counts = np.concatenate([np.frombuffer(y, "<u4" if w and len(y) else "<u2").astype(np.uint32) for y, w in zip((y for x in held for y in x.column(5).to_pylist()), wide, strict=True)])
             else:
                 counts = np.concatenate([_flat(x.column(5), "<u2") for x in held])
+            terms = [_flat(x.column(4), np.int64) for x in held]
             held.clear()
             return Shard(ids, words, sizes, terms, counts, mean)
 
@@ -275,6 +300,12 @@ def top_k(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     Texts become terms and counts once. Each query's terms go to every shard, in rounds of about ROUND queries: what lies in a
     shuffle at once grows with the number of shards, not with that times the number of queries. Each round builds the shards anew.
     """
+    with batches_of(documents.sparkSession, ROWS):
+        return _top_k(documents, queries, k)
+
+
+def _top_k(documents: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+    """``top_k``, with all that Python works on run before it returns."""
     spark = documents.sparkSession
     scratch = Scratch(spark)
     docs = documents.selectExpr("cast(doc_id as long) as doc_id", "text").where("doc_id is not null")
@@ -301,8 +332,6 @@ def top_k(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         return ranked.select("query_id", "rank", "doc_id", "score")
 
-    if rounds == 1:
-        return found(weighed)
     # Written one by one, so that a round's shuffle goes before the next one's comes.
     parts = [scratch.save(found(weighed.where(F.pmod(F.xxhash64("query_id"), F.lit(rounds)) == at))) for at in range(rounds)]
     return reduce(DataFrame.unionByName, parts)

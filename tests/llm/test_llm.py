@@ -2,11 +2,13 @@ import hashlib
 import itertools
 import random
 import textwrap
+import tracemalloc
 import zlib
 from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -311,6 +313,27 @@ def test_search_in_rounds(spark, monkeypatch):
     assert sorted(search.top_k(df, df.where("doc_id % 6 = 0"), 5).collect()) == want and len(want) == 50 and len(made) == 1 + 3
 
 
+def test_a_shard_is_built_in_bounded_memory():
+    """Batches of documents become an index with at most four times the bytes of their terms beside these."""
+    n, each, r = 4000, 300, np.random.default_rng(4)
+    own = [np.unique(r.integers(0, 100_000, each)) for _ in range(n)]
+
+    def batches():
+        for a in range(0, n, 100):
+            some = own[a : a + 100]
+            none, column = pa.array([None] * 100, pa.list_(pa.int64())), lambda f, t, some=some: pa.array([f(x) for x in some], t)
+            cells = [pa.array([0] * 100, pa.int32()), pa.array([False] * 100), pa.array(range(a, a + 100), pa.int64()), column(len, pa.int64()), column(np.ndarray.tobytes, pa.binary()), column(lambda x: np.ones(len(x), "<u2").tobytes(), pa.binary()), none, none.cast(pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(cells, [c.split()[0] for c in search._DOC.split(", ")])
+        tracemalloc.start()
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([True]), pa.array([-1], pa.int64()), *(pa.array([None], x) for x in (pa.int64(), pa.binary(), pa.binary())), pa.array([own[3].tolist()]), pa.array([[1.0] * len(own[3])])], [c.split()[0] for c in search._DOC.split(", ")])
+
+    found = [x for x in search._search(float(each), 3)(batches()) if len(x)]
+    peak, size = tracemalloc.get_traced_memory()[1], sum(x.nbytes for x in own)
+    tracemalloc.stop()
+    assert found[0].column(1)[0].as_py() == 3
+    assert peak < 4 * size + 8e6
+
+
 def test_blocks_are_skipped(monkeypatch):
     monkeypatch.setattr(search, "BLOCK", 2)
     monkeypatch.setattr(search, "RUN", 1)
