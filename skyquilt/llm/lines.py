@@ -100,16 +100,19 @@ def _near(n: str, m: str) -> Column:
 
 
 def sketches(texts: DataFrame) -> DataFrame:
-    """node, n (how many shingles) and a sketch of the set of shingles: SKETCH numbers of 64 bits, a shingle setting one of them all."""
+    """node, n (how many shingles) and a sketch of the set of shingles: SKETCH numbers of 64 bits, a shingle turning one of them all over.
+
+    As bits are turned over, not set, what two sets have in common cancels out, and a long line's sketch doesn't fill up.
+    """
     each = texts.select("node", F.explode(F.array_distinct(shingles(F.col("norm")))).alias("h"))
-    bit = lambda k: F.expr(f"bit_or(if(shiftrightunsigned(h, 6) % {SKETCH} = {k}, shiftleft(1L, cast(h & 63 as int)), 0L))").alias(f"s{k}")
+    bit = lambda k: F.expr(f"bit_xor(if(shiftrightunsigned(h, 6) % {SKETCH} = {k}, shiftleft(1L, cast(h & 63 as int)), 0L))").alias(f"s{k}")
     return each.groupBy("node").agg(F.count("*").cast("int").alias("n"), *(bit(k) for k in range(SKETCH)))
 
 
 def _close(x: str, y: str) -> Column:
     """Whether two sets may be similar by their sizes and sketches; it is never false for sets that are.
 
-    Each bit in which sketches differ is a shingle that only one set has, and similar sets have few of those.
+    Each bit in which sketches differ is a shingle, or an odd number of them, that only one set has; similar sets have few.
     """
     differ = sum((F.bit_count(F.col(f"s{k}_{x}").bitwiseXOR(F.col(f"s{k}_{y}"))) for k in range(1, SKETCH)), F.bit_count(F.col(f"s0_{x}").bitwiseXOR(F.col(f"s0_{y}"))))
     return _near(f"n_{x}", f"n_{y}") & (differ * (100 + PER_CENT) <= (F.col(f"n_{x}") + F.col(f"n_{y}")) * (100 - PER_CENT))

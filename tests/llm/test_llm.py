@@ -223,6 +223,21 @@ def test_a_line_is_linked_once_with_a_large_component(spark):
     assert [tuple(r) for r in lines._across(open_, texts, lines.sketches(texts)).collect()] == [(0, 30)]
 
 
+def test_sketches_part_lines_with_a_long_common_passage(spark):
+    """Of lines of 500 shingles none that is alike is ruled out, and nearly all with a Jaccard of 0.6 are."""
+    r = random.Random(8)
+    some = lambda n: "".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    rows = []
+    for k in range(40):
+        unlike, alike = some(383), some(453)  # 375 and 445 common shingles
+        rows += [(4 * k + i, x) for i, x in enumerate((unlike + some(125), unlike + some(125), alike + some(55), alike + some(55)))]
+    sketch = lines.sketches(spark.createDataFrame(rows, "node long, norm string"))
+    x, y = (sketch.select(F.col("node").alias(f"node_{e}"), *(F.col(c).alias(f"{c}_{e}") for c in sketch.columns[1:])) for e in "xy")
+    pairs = x.join(y, F.col("node_y") == F.col("node_x") + 1).where("node_x % 2 = 0 and n_x between 495 and 500")
+    got = {r[0]: r[1] for r in pairs.select("node_x", lines._close("x", "y")).collect()}
+    assert len(got) == 80 and all(v for k, v in got.items() if k % 4 == 2) and sum(v for k, v in got.items() if k % 4 == 0) <= 2
+
+
 def test_lines_repetitive_of_differing_length(spark):
     pairs = [("=" * 40, "=" * 80), ("| --- " * 6, "| --- " * 12), ("buy now! " * 5, "buy now! " * 30), ("-" * 20, "-" * 100), ("ab" * 30, "ab" * 200)]
     df = spark.createDataFrame([(k, "\n".join(own)) for k, own in enumerate(zip(*pairs, strict=True))], "doc_id long, text string")
