@@ -45,13 +45,23 @@ def _let(value: Column, then) -> Column:
 
 
 def shingles(line: Column) -> Column:
-    """The hashed character shingles of a line, repeated as they are; the whole line, if it is shorter than WIDTH."""
+    """The hashed character shingles of a line, repeated as they are; the whole line, if it is shorter than WIDTH.
 
-    def cut(units: Column) -> Column:  # four bytes a character, so that a place in the line is a place in the bytes
-        places = F.sequence(F.lit(1), F.greatest(F.length(units) - (4 * WIDTH - 1), F.lit(1)), F.lit(4))
-        return F.transform(places, lambda p: F.xxhash64(F.substr(units, p, F.lit(4 * WIDTH))))
+    A shingle is hashed as UTF-16. Lines of two bytes a character are cut there, so that a place in the line is a place in
+    the bytes; others are cut in four bytes a character, and each shingle is turned to UTF-16.
+    """
+
+    def cut(size: int, hashed):
+        def of(units: Column) -> Column:
+            places = F.sequence(F.lit(1), F.greatest(F.length(units) - (size * WIDTH - 1), F.lit(1)), F.lit(size))
+            return F.transform(places, lambda p: F.xxhash64(hashed(F.substr(units, p, F.lit(size * WIDTH)))))
+
+        return of
 
-    return _let(F.encode(line, "UTF-32"), cut)
+    # A decoder swallows one mark of byte order, so it is given one.
+    again = lambda x: F.encode(F.decode(F.concat(F.lit(b"\0\0\xfe\xff"), x), "UTF-32"), "UTF-16BE")
+    wide = _let(F.encode(line, "UTF-32"), cut(4, again))
+    return _let(F.encode(line, "UTF-16BE"), lambda u: F.when(F.length(u) == 2 * F.length(line), cut(2, lambda x: x)(u)).otherwise(wide))
 
 
 def with_keys(lines: DataFrame, norm: str = "norm") -> DataFrame:
@@ -67,7 +77,9 @@ def with_keys(lines: DataFrame, norm: str = "norm") -> DataFrame:
     x = x.select(*rest, F.when(whole, F.col("_d")).otherwise(F.array_distinct("_s")).alias("_d"))
     ring = F.when(F.size("_d") >= TAKE, F.slice("_d", 1, TAKE)).otherwise(F.concat("_d", F.slice("_d", 1, ROWS - 1)))
     x = x.select(*rest, F.least(F.size("_d"), F.lit(PLACES)).alias("_n"), ring.alias("_r"))
-    runs = _let(F.col("_r"), lambda r: F.transform(F.sequence(F.lit(1), F.col("_n")), lambda i: F.xxhash64(F.slice(r, i, F.lit(ROWS)))))
+    # Its elements one by one, as a slice in a lambda copies the whole array.
+    run = lambda r: lambda i: F.xxhash64(*(F.get(r, i + k) for k in range(ROWS)))
+    runs = _let(F.col("_r"), lambda r: F.transform(F.sequence(F.lit(0), F.col("_n") - 1), run(r)))
     return x.select(*rest, F.slice(F.sort_array(runs), 1, BANDS).alias("band_keys"))
 
 

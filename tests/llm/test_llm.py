@@ -238,6 +238,29 @@ def test_sketches_part_lines_with_a_long_common_passage(spark):
     assert len(got) == 80 and all(v for k, v in got.items() if k % 4 == 2) and sum(v for k, v in got.items() if k % 4 == 0) <= 2
 
 
+def test_signatures_copy_no_array_for_a_run(spark):
+    """A run's key is that of a slice of the array, but no lambda makes one: it would copy the whole array for each run."""
+    df = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog and runs far away"), (2, "short line")], "node long, norm string")
+    signed = lines.with_keys(df)
+    assert "slice(lambda" not in signed._jdf.queryExecution().optimizedPlan().toString()
+    hashed = df.select("node", F.array_sort(F.array_distinct(lines.shingles(F.col("norm")))).alias("d")).collect()
+    for node, d in hashed:
+        ring = d[:35] if len(d) >= 35 else d + d[:3]
+        runs = spark.createDataFrame([(ring[i : i + 4],) for i in range(min(len(d), 32))], "r array<long>").select(F.xxhash64("r")).collect()
+        assert signed.where(f"node = {node}").first()["band_keys"] == sorted(r[0] for r in runs)[:16]
+
+
+def test_shingles_count_characters_beyond_two_bytes(spark):
+    """Shingles are of nine characters whatever their bytes, and hash alike in lines with and without wide characters."""
+    texts = ["a plain line of text", "a plain line of text \U0001f600 and more", "\ufeffédé \ufeffcafé x", "\ufeffédé \ufeffcafé x\U0001f600", "\U0001f600" * 12, "\U0001f600b", ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, norm string")
+    got = {k: h for k, h in df.select("k", lines.shingles(F.col("norm"))).collect()}
+    cut = [[x[j : j + 9] for j in range(max(1, len(x) - 8))] for x in texts]
+    assert [len(got[k]) for k in range(len(texts))] == [len(c) for c in cut]
+    pairs = {(s, h) for k, c in enumerate(cut) for s, h in zip(c, got[k], strict=True)}
+    assert len(pairs) == len({s for s, _ in pairs}) == len({h for _, h in pairs})
+
+
 def test_lines_repetitive_of_differing_length(spark):
     pairs = [("=" * 40, "=" * 80), ("| --- " * 6, "| --- " * 12), ("buy now! " * 5, "buy now! " * 30), ("-" * 20, "-" * 100), ("ab" * 30, "ab" * 200)]
     df = spark.createDataFrame([(k, "\n".join(own)) for k, own in enumerate(zip(*pairs, strict=True))], "doc_id long, text string")
