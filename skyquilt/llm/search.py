@@ -1,15 +1,14 @@
 """Exact top-k search by BM25: an inverted index per shard with block-max WAND, merged on global statistics.
 
 A shard's postings are ordered by term and document and cut where the document block (BLOCK documents) changes;
-each cut keeps its largest impact. A query's cursors, one for each of its terms, go through their cuts in the order of
-documents. The pivot is the next block whose bound reaches the k-th score so far: weight times largest impact, summed over the
-terms that have a cut there. Cursors skip what lies before it, and only the pivots' postings are read. The first threshold
-comes from the block with the largest bound. Sums of block maxima are made for all blocks at once, so the list-wide maxima by
-which plain WAND finds its pivot aren't needed: they would skip no further.
+each cut keeps its largest impact, each list too. A query's lists, one for each of its terms, are taken by their maxima for each posting:
+lists whose maxima add up to a small share of the threshold make no pivot by themselves and are set aside. What the others
+add is summed for every document; a pivot is a document that reaches the threshold with the block maxima of the lists set aside, and
+of these only the cuts in pivots' blocks are read. The threshold is the k-th score so far, at first that of a sample
+of all documents; a shard whose list maxima don't reach it together isn't searched.
 
 Terms that are in many of a shard's documents have no postings but a dense column of impacts, as whole texts for queries hold
-nearly all of them and a list of them would skip nothing: their part of a block's bound is the largest sum in it, from one
-matrix product for many queries. Bounds and sums are of single precision and widened by SLACK; the documents that remain are
+nearly all of them and a list of them would skip nothing: their sums come from one matrix product for many queries. Bounds and sums are of single precision and widened by SLACK; the documents that remain are
 scored exactly, in double precision, from a forward index. Document counts, lengths and frequencies are those of the whole
 corpus, so the shards' lists can be merged as they are.
 """
@@ -33,11 +32,17 @@ BLOCK = 64
 #: Documents of a shard, on average.
 SHARD = 10_000
 #: Queries of a round, at most on average: what is shipped to a shard at once.
-ROUND = 4096
-#: Pivots that are scored together, and queries whose dense part is.
-RUN, QUERIES = 64, 64
+ROUND = 8192
+#: Pivots that are scored without the lists set aside at most, and queries whose dense part is worked out together.
+RUN, QUERIES = 8, 64
 #: A term is dense if it is in this share of a shard's documents; at most so many are.
-DENSE, MOST_DENSE = 1 / 32, 512
+DENSE, MOST_DENSE = 1 / 16, 256
+#: Groups of shards for each core, at most: a round's queries are shipped to each group.
+GROUPS = 4
+#: One in so many documents is searched first, from twice as many shards on.
+SAMPLED = 16
+#: Lists are set aside while their maxima add up to this share of the threshold at most.
+ASIDE = 0.05
 #: By which share a sum in single precision may be wrong, and more.
 SLACK = 1e-4
 #: Rows that a Python worker is sent at once. Batches are held whole, on both sides, beside what is made of them.
@@ -158,35 +163,54 @@ class Shard:
         self.cut = np.append(np.flatnonzero(cut), len(cut)).astype(np.int32)
         del cut
         self.top = np.maximum.reduceat(self.impact, self.cut[:-1]) if len(self.impact) else np.empty(0, np.float32)
+        # Each term's largest impact, and how long its list is.
+        self.most, self.length = np.zeros(len(self.terms), np.float32), np.diff(self.cut[self.first])
+        some = self.length > 0
+        if some.any():
+            self.most[some] = np.maximum.reduceat(self.top, self.first[:-1][some])
+        self.most[often] = self.dense.max(1, initial=0)
 
     def _exact(self, place: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """The impacts of the terms at these places of the forward index, which are those of ``doc``."""
         tf = self.counts[place].astype(float)
         return tf * ((K1 + 1) / (tf + self.norm[doc]))
 
-    def search(self, queries: list[tuple[int, np.ndarray, np.ndarray]], k: int) -> list[tuple[int, int, float]]:
+    def search(self, queries: list[tuple[int, np.ndarray, np.ndarray] | tuple[int, np.ndarray, np.ndarray, float]], k: int) -> list[tuple[int, int, float]]:
         """(query, document, score) of the k best documents but the query's own for each (query, terms, weights), best first, ties by id.
 
-        Only documents that share a term are found.
+        Only documents that share a term are found, and of a query with a fourth value only those that don't score less.
         """
+        if not queries or not len(self.terms):
+            return []
+        ends = np.cumsum([len(x[1]) for x in queries])
+        terms, weights = (np.concatenate([x[c] for x in queries]) for c in (1, 2))
+        at = np.minimum(np.searchsorted(self.terms, terms), len(self.terms) - 1)
+        has = self.terms[at] == terms
+        # No document scores more than all lists' maxima together: mostly, a shard of other documents ends here.
+        most = np.append(0, np.cumsum(np.where(has, weights * self.most[at], 0)))[np.append(0, ends)]
         own = []
-        for query, terms, weights in queries:
-            at = np.minimum(np.searchsorted(self.terms, terms), max(len(self.terms) - 1, 0))
-            has = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-            own.append((query, at[has], weights[has]))
-        dense = np.zeros((len(own), len(self.dense)), np.float32)
-        for row, (_, at, weights) in zip(dense, own, strict=True):
-            column = self.column[at]
-            row[column[column >= 0]] = weights[column >= 0]
-        sums = dense @ self.dense
+        for i, query in enumerate(queries):
+            least, a, b = query[3] if len(query) > 3 else 0.0, ends[i] - len(query[1]), ends[i]
+            if (reach := most[i + 1] - most[i]) > 0 and reach * (1 + SLACK) >= least:
+                own.append((query[0], at[a:b][has[a:b]], weights[a:b][has[a:b]], least))
         out = []
-        for (query, at, weights), partial in zip(own, sums, strict=True):
-            docs = self._candidates(query, at, weights, partial, k)
+        for (query, at, weights, least), partial in zip(own, self._dense_parts(own), strict=True):
+            docs = self._candidates(query, at, weights, partial, k, least)
             scores = self._scores(docs, at, weights)
             top = np.lexsort((self.ids[docs], -scores))[:k]
-            out += [(query, int(self.ids[docs[i]]), float(scores[i])) for i in top if scores[i] > 0]
+            out += [(query, int(self.ids[docs[i]]), float(scores[i])) for i in top if scores[i] > 0 and scores[i] >= least * (1 - SLACK)]
         return out
 
+    def _dense_parts(self, own: list[tuple[int, np.ndarray, np.ndarray, float]]) -> list[np.ndarray]:
+        """Every document's score by the dense terms for each query: from one product, or from its few columns alone."""
+        columns = [self.column[at] for _, at, _, _ in own]
+        many = [i for i, c in enumerate(columns) if (c >= 0).sum() > len(self.dense) / 16]
+        table = np.zeros((len(many), len(self.dense)), np.float32)
+        for row, i in zip(table, many, strict=True):
+            row[columns[i][columns[i] >= 0]] = own[i][2][columns[i] >= 0]
+        parts = dict(zip(many, table @ self.dense, strict=True))
+        return [parts[i] if i in parts else own[i][2][c >= 0].astype(np.float32) @ self.dense[c[c >= 0]] for i, c in enumerate(columns)]
+
     def _scores(self, docs: np.ndarray, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """The exact scores of documents, each summed in the order of its terms, so that equal texts have equal scores."""
         if not len(docs):
@@ -194,46 +218,62 @@ class Shard:
         self.weight[at] = weights
         n = self.begin[docs + 1] - self.begin[docs]
         place = _ranges(self.begin[docs], n)
-        some = n > 0
-        scores = np.zeros(len(docs))
-        if some.any():
-            scores[some] = np.add.reduceat(self.weight[self.held[place]] * self._exact(place, np.repeat(docs, n)), (np.cumsum(n) - n)[some])
+        weight = self.weight[self.held[place]]
         self.weight[at] = 0
-        return scores
-
-    def _candidates(self, query: int, at: np.ndarray, weights: np.ndarray, partial: np.ndarray, k: int) -> np.ndarray:
-        """Documents among which the k best are; ``partial``: every document's score by the dense terms."""
-        n = self.first[at + 1] - self.first[at]
-        # The cursors' ways, merged: the cuts of all terms by block.
-        cuts = _ranges(self.first[at], n)
-        way = np.argsort(self.block[cuts], kind="stable")
-        cuts, weight = cuts[way], np.repeat(weights, n)[way].astype(np.float32)
-        block = self.block[cuts]
-        bound = partial.reshape(self.blocks, BLOCK).max(1) + np.bincount(block, weight * self.top[cuts], self.blocks)
-        bound *= 1 + SLACK
-        step = np.searchsorted(block, np.arange(self.blocks + 1))
-        docs, sums, least = np.empty(0, np.int64), np.empty(0, np.float32), 0.0
-        cursor, pivots = 0, np.array([bound.argmax()])
-        while len(pivots):
-            m = step[pivots + 1] - step[pivots]
-            own = cuts[_ranges(step[pivots], m)]
-            length = self.cut[own + 1] - self.cut[own]
-            post = _ranges(self.cut[own], length)
-            slot = np.repeat(np.repeat(np.arange(len(pivots)) - pivots, m) * BLOCK, length) + self.doc[post]
-            score = np.bincount(slot, np.repeat(weight[_ranges(step[pivots], m)], length) * self.impact[post], len(pivots) * BLOCK)
-            score = score + partial.reshape(self.blocks, BLOCK)[pivots].ravel()
-            found = np.flatnonzero((score > 0) & (score * (1 + SLACK) >= least))
-            doc = pivots[found // BLOCK] * BLOCK + found % BLOCK
-            other = self.ids[doc] != query
-            docs, sums = np.concatenate([docs, doc[other]]), np.concatenate([sums, score[found[other]]])
-            if len(docs) >= k:
-                least = np.partition(sums, len(sums) - k)[-k] * (1 - 2 * SLACK)
-                keep = sums >= least * (1 - SLACK)
-                docs, sums = docs[keep], sums[keep]
-            bound[pivots] = 0
-            pivots = cursor + np.flatnonzero(bound[cursor:] >= max(least, 1e-30))[:RUN]
-            cursor = pivots[-1] + 1 if len(pivots) else cursor
-        return docs
+        shared = np.flatnonzero(weight)
+        row = np.repeat(np.arange(len(docs)), n)[shared]
+        return np.bincount(row, weight[shared] * self._exact(place[shared], docs[row]), len(docs))
+
+    def _candidates(self, query: int, at: np.ndarray, weights: np.ndarray, partial: np.ndarray, k: int, least: float) -> np.ndarray:
+        """Documents among which the k best are that score ``least``; ``partial``: every document's score by the dense terms."""
+        listed = self.column[at] < 0
+        at, weights = at[listed], weights[listed]
+        most, n = weights * self.most[at], self.length[at]
+        # Short lists of large maxima first: what the last ones add is bounded by few cuts, and reading them costs most.
+        way = np.argsort(-most / n)
+        rest = np.append(np.cumsum(most[way][::-1])[::-1], 0)  # all that the lists from here on can add
+
+        def read(lists: np.ndarray) -> np.ndarray:
+            place = _ranges(self.cut[self.first[at[lists]]], n[lists])
+            return np.bincount(self.doc[place], np.repeat(weights[lists], n[lists]) * self.impact[place], len(partial))
+
+        def kth(score: np.ndarray) -> float:
+            """The k-th best of the documents but the query's own, as far as they are scored."""
+            score = score[: len(self.ids)][self.ids != query]
+            return float(np.partition(score, len(score) - k)[-k]) * (1 - 2 * SLACK) if len(score) >= k else 0.0
+
+        begun, score = 0, partial
+        if least <= 0:
+            begun = min(int(np.searchsorted(-rest, -rest[0] / 2, "right")), len(way))
+            score = score + read(way[:begun])
+            least = kth(score)
+        last = max(begun, int(np.searchsorted(-rest, -ASIDE * least)))
+        if last > begun:
+            score = score + read(way[begun:last])
+        if last == len(way):
+            least = max(least, kth(score))
+            pivots = np.flatnonzero(score * (1 + SLACK) >= max(least * (1 - SLACK), 1e-30))
+        else:
+            # Of the lists set aside no pivot comes: their cuts bound what they add in a block.
+            own, weight = at[way[last:]], weights[way[last:]]
+            m = self.first[own + 1] - self.first[own]
+            cuts, weight = _ranges(self.first[own], m), np.repeat(weight, m)
+            block = self.block[cuts]
+            bound = score.reshape(self.blocks, BLOCK) + np.bincount(block, weight * self.top[cuts], self.blocks)[:, None]
+            pivots = np.flatnonzero(bound * (1 + SLACK) >= max(least * (1 - SLACK), 1e-30))
+            if len(pivots) > RUN:
+                # Postings of the pivots' blocks cost less than the exact scores of so many documents.
+                holds = np.zeros(self.blocks, bool)
+                holds[pivots // BLOCK] = True
+                holds = holds[block]
+                cuts, weight = cuts[holds], weight[holds]
+                n = self.cut[cuts + 1] - self.cut[cuts]
+                place = _ranges(self.cut[cuts], n)
+                score = score + np.bincount(self.doc[place], np.repeat(weight, n) * self.impact[place], len(partial))
+                least = max(least, kth(score))
+                pivots = pivots[score[pivots] * (1 + SLACK) >= least * (1 - SLACK)]
+        pivots = pivots[pivots < len(self.ids)]
+        return pivots[self.ids[pivots] != query]
 
 
 def _flat(column: pa.BinaryArray, kind) -> np.ndarray:
@@ -246,10 +286,10 @@ def _lengths(column: pa.BinaryArray) -> np.ndarray:
     return np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1])
 
 
-def _search(mean: float, k: int):
+def _search(mean: float, k: int, groups: int = 1):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of _DOC, sorted by shard and query: a shard's documents, then the queries."""
-        shard, held, index = None, [], None
+        """Rows of _DOC, by group (the shard's number modulo ``groups``), a group's queries together and its shards one after another."""
+        group, shard, held, asked = None, None, [], []
 
         def build() -> Shard:
             ids, words = (np.concatenate([x.column(c).to_numpy() for x in held]) for c in (2, 3))
@@ -263,28 +303,38 @@ def _search(mean: float, k: int):
             held.clear()
             return Shard(ids, words, sizes, terms, counts, mean)
 
+        def searched() -> pa.RecordBatch:
+            out = []
+            if held and asked:
+                index = build()
+                for at in range(0, len(asked), QUERIES):
+                    out += index.search(asked[at : at + QUERIES], k)
+            held.clear()
+            columns = [pa.array([x[c] for x in out], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.float64()))]
+            return pa.RecordBatch.from_arrays(columns, ["query_id", "doc_id", "score"])
+
         for batch in batches:
             if not len(batch):
                 continue
             own = [batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1)]
             cuts = np.flatnonzero((own[0][1:] != own[0][:-1]) | (own[1][1:] != own[1][:-1])) + 1
-            out = []
             for a, b in zip([0, *cuts], [*cuts, len(batch)], strict=True):
-                if own[0][a] != shard:
-                    shard, held, index = own[0][a], [], None
+                query = own[1][a]
+                if held and (own[0][a] % groups != group or (not query and own[0][a] != shard)):
+                    yield searched()
+                if own[0][a] % groups != group:
+                    group, asked = own[0][a] % groups, []
                 part = batch.slice(a, b - a)
-                if not own[1][a]:
+                if not query:
+                    shard = own[0][a]
                     held.append(part)
                     continue
-                if not held and index is None:  # a shard without documents
-                    continue
-                if index is None:
-                    index = build()
-                for at in range(0, len(part), QUERIES):
-                    some = part.slice(at, QUERIES)
-                    out += index.search([(some.column(2)[i].as_py(), *(some.column(c)[i].values.to_numpy() for c in (6, 7))) for i in range(len(some))], k)
-            columns = [pa.array([x[c] for x in out], t) for c, t in enumerate((pa.int64(), pa.int64(), pa.float64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["query_id", "doc_id", "score"])
+                for i in range(len(part)):
+                    keys, weights = (part.column(c)[i].values.to_numpy() for c in (6, 7))
+                    # A weight more than keys is the score that a document needs.
+                    asked.append((part.column(2)[i].as_py(), keys, weights[: len(keys)], float(weights[-1]) if len(weights) > len(keys) else 0.0))
+        if held:
+            yield searched()
 
     return run
 
@@ -298,7 +348,9 @@ def top_k(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     a query such a doc_id stands for its smallest text.
 
     Texts become terms and counts once. Each query's terms go to every shard, in rounds of about ROUND queries: what lies in a
-    shuffle at once grows with the number of shards, not with that times the number of queries. Each round builds the shards anew.
+    shuffle at once grows with the number of shards, not with that times the number of queries. A round's queries go to groups of
+    shards, which are searched one after another. Each round builds the shards anew. Where there are many shards, a round first
+    searches a sample of the documents: what the k-th of it scores, the k best of all score at least.
     """
     with batches_of(documents.sparkSession, ROWS):
         return _top_k(documents, queries, k)
@@ -324,11 +376,23 @@ def _top_k(documents: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     rounds = max(1, -(-weighed.count() // ROUND))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
 
+    def searched(rows: DataFrame, shards: int, own: DataFrame) -> DataFrame:
+        groups = -(-shards // -(-shards // (GROUPS * spark.sparkContext.defaultParallelism)))  # of equally many shards
+        each = own.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("shard"), F.lit(True).alias("query"), F.col("query_id").alias("id"), none("long", "words"), none("binary", "terms"), none("binary", "tf"), "keys", "weights")
+        group = F.col("shard") % groups
+        # Each group is a partition of its own: its queries first, then its shards.
+        dealt = rows.unionByName(each).repartitionById(groups, group).sortWithinPartitions(group, F.desc("query"), "shard")
+        return dealt.mapInArrow(_search(words / max(n, 1), k, groups), "query_id long, doc_id long, score double")
+
+    def floors(own: DataFrame) -> DataFrame:
+        """The queries, with the k-th best score of the sample as one more weight where it has as many."""
+        some = rows.where(F.pmod(F.xxhash64("id", F.lit("sample")), F.lit(SAMPLED)) == 0).withColumn("shard", F.floor(F.col("shard") / SAMPLED).cast("int"))
+        scores = searched(some, -(-shards // SAMPLED), own).groupBy("query_id").agg(F.sort_array(F.collect_list("score"), False).alias("s"))
+        least = scores.where(F.size("s") >= k).select("query_id", F.col("s")[k - 1].alias("least"))
+        return scratch.save(own.join(least, "query_id", "left").select("query_id", "keys", F.when(F.col("least").isNull(), F.col("weights")).otherwise(F.concat("weights", F.array("least"))).alias("weights")))
+
     def found(own: DataFrame) -> DataFrame:
-        each = own.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(True).alias("query"), F.col("query_id").alias("id"), none("long", "words"), none("binary", "terms"), none("binary", "tf"), "keys", "weights")
-        # More partitions than shards, so that few of them get several.
-        dealt = rows.unionByName(each).repartition(3 * shards, "shard").sortWithinPartitions("shard", "query")
-        best = dealt.mapInArrow(_search(words / max(n, 1), k), "query_id long, doc_id long, score double")
+        best = searched(rows, shards, floors(own) if shards >= 2 * SAMPLED else own)
         ranked = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
         return ranked.select("query_id", "rank", "doc_id", "score")
 

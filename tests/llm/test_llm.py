@@ -388,6 +388,30 @@ def test_blocks_are_skipped(monkeypatch):
         assert [d for _, d, _ in found] == [0, 50, 100] and sum(read) < 500  # of 808 postings and 404 cuts
 
 
+def test_search_with_a_sample(spark, monkeypatch):
+    """Queries go to groups of shards and know what a sample's k-th document scores; the rows are those of a single shard."""
+    r, v, shipped, run = random.Random(13), vocabulary(13, 200), [], search._search
+    df = spark.createDataFrame([(i, " ".join(r.choices(v[i % 2 :: 2], k=r.randint(3, 30)))) for i in range(200)], "doc_id long, text string")
+    want = sorted(search.top_k(df, df.where("doc_id % 8 = 0"), 4).collect())
+    for name, value in (("SHARD", 10), ("SAMPLED", 4), ("GROUPS", 1)):
+        monkeypatch.setattr(search, name, value, raising=False)
+    monkeypatch.setattr(search, "_search", lambda *a: shipped.append(a[2:]) or run(*a))
+    got = sorted(search.top_k(df, df.where("doc_id % 8 = 0"), 4).collect())
+    assert [x[:3] for x in got] == [x[:3] for x in want] and [x[3] for x in got] == pytest.approx([x[3] for x in want]) and len(want) == 100
+    assert shipped == [(5,), (7,)]  # groups of the sample's 5 shards and of the 20, on 8 cores
+
+
+def test_what_a_document_needs_is_known(monkeypatch):
+    """A shard whose lists can't add up to a query's least score isn't read; documents of that score are found."""
+    ids, sizes, terms = np.arange(50), np.full(50, 2), np.tile([1, 2], 50)
+    shard = search.Shard(ids, np.full(50, 10), sizes, terms, np.tile([1, 1], 50), 10.0)
+    query = (-1, np.array([1, 2]), np.array([0.5, 0.25]))
+    (_, _, score), *_ = found = shard.search([query], 3)
+    assert shard.search([(*query, score)], 3) == found
+    monkeypatch.setattr(search.Shard, "_candidates", None)
+    assert shard.search([(*query, score * 1.01)], 3) == []
+
+
 def test_neighbours_recall_and_odd(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "SHARD", 700)
     x = np.random.default_rng(8).normal(size=(1500, 16))
