@@ -209,7 +209,8 @@ def bounds_to_utm(spark, sf_dir):
 def camera_template(spark, sf_dir):
     cells = load(spark, sf_dir, "events").select(F.col("user_id").alias("raster_id"), "value")
     text = F.lit("OPTICAL_BAR\nmean_surface_elevation = 800\nspeed = 1")
-    return resolve.raster_means(cells).select("raster_id", resolve.substitute(text, "mean_surface_elevation", F.col("mean")).alias("template"))
+    filled = resolve.substitute(text, "mean_surface_elevation", F.col("mean"))
+    return resolve.raster_means(cells).select("raster_id", F.when(F.col("mean").isNotNull(), filled).alias("template"))
 
 
 @query("""SELECT 'a/run-' || n_name || '_' || t || '_sub4.adjusted_state.json' AS source, 'b/' || n_name || '_' || t || '_sub4.json' AS target FROM nation, (VALUES ('fwd'), ('aft')) v(t)

@@ -199,6 +199,15 @@ def test_half_means_in_any_order(spark):
             assert [r["mean"] for r in resolve.raster_means(cells).collect()] == [mean]
 
 
+def test_a_template_without_values_is_null(spark, tmp_path):
+    """As in the query's SQL; the operator alone leaves such a text as it is."""
+    from skyquilt.registry_tiles import camera_template
+
+    spark.createDataFrame([(1, None), (2, 3.5), (2, None)], "user_id long, value double").write.parquet(f"{tmp_path}/events.parquet")
+    got = {r["raster_id"]: r["template"] for r in camera_template(spark, str(tmp_path)).collect()}
+    assert got == {1: None, 2: "OPTICAL_BAR\nmean_surface_elevation = 4\nspeed = 1"}
+
+
 def test_stats_and_settings(spark, tmp_path):
     (tmp_path / "s").write_text("# h\na/b.tif, 1.5, 2, x\nc.tif, bad, 2, 3\nd.tif, 1, 2\n")
     assert [tuple(r) for r in files.read_residual_stats(spark, str(tmp_path / "s")).collect()] == [("b.tif", 1.5, 2.0, None)]
