@@ -24,7 +24,7 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    return search.top_k(docs, docs.where("doc_id % 100 = 0")).withColumn("score", F.round("score", 6))
+    return search.top_k(docs, docs.where("doc_id % 100 = 0"), kind="lang").withColumn("score", F.round("score", 6))
 
 
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:

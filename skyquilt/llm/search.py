@@ -73,7 +73,7 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             tf.append(n.astype("<u2" if not len(n) or n.max() < 1 << 16 else "<u4").tobytes())
         salts = np.arange(salt, salt + len(batch), dtype=np.int64)
         salt += len(batch)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(salts), pa.array(words, pa.int64()), pa.array(terms, pa.binary()), pa.array(tf, pa.binary())], ["doc_id", "salt", "words", "terms", "tf"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(salts), pa.array(words, pa.int64()), pa.array(terms, pa.binary()), pa.array(tf, pa.binary())], ["doc_id", "kind", "salt", "words", "terms", "tf"])
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,12 +339,13 @@ def _search(mean: float, k: int, groups: int = 1):
     return run
 
 
-def top_k(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
+def top_k(documents: DataFrame, queries: DataFrame, k: int = 10, kind: str | None = None) -> DataFrame:
     """query_id, rank (from 1), doc_id and score: the k documents that score best for each query's whole text.
 
     ``documents`` and ``queries`` have doc_id and text. Documents with a query's doc_id are left out; ties go to the
     smaller doc_id. Rows without a doc_id take no part, texts without words find nothing and aren't found,
-    fewer than k documents that share a word give fewer rows. Rows that repeat a doc_id are documents of their own; as
+    fewer than k documents that share a word give fewer rows. ``kind`` names a column, such as the language, by which
+    documents share words: shards hold one kind each where it has enough, which changes the time alone. Rows that repeat a doc_id are documents of their own; as
     a query such a doc_id stands for its smallest text.
 
     Texts become terms and counts once. Each query's terms go to every shard, in rounds of about ROUND queries: what lies in a
@@ -353,15 +354,32 @@ def top_k(documents: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     searches a sample of the documents: what the k-th of it scores, the k best of all score at least.
     """
     with batches_of(documents.sparkSession, ROWS):
-        return _top_k(documents, queries, k)
-
-
-def _top_k(documents: DataFrame, queries: DataFrame, k: int) -> DataFrame:
+        return _top_k(documents, queries, k, kind)
+
+
+def _sharded(docs: DataFrame, n: int) -> tuple[DataFrame, int]:
+    """The documents with their shard, and how many shards there are: each kind of SHARD documents or more has its own, the others share some."""
+    large = [(r["kind"], r["count"]) for r in docs.where("kind is not null").groupBy("kind").count().where(F.col("count") >= SHARD).orderBy("kind").collect()]
+    others = n - sum(c for _, c in large)
+    table, shards = [], -(-others // SHARD) if others or not large else 0
+    rest, shards = max(1, shards), max(shards, 0 if large else 1)
+    for kind, count in large:
+        table.append((kind, shards, -(-count // SHARD)))
+        shards += table[-1][2]
+    hashed = F.xxhash64("doc_id", "salt")
+    if not table:
+        return docs.withColumn("shard", F.pmod(hashed, F.lit(rest)).cast("int")), shards
+    own = docs.sparkSession.createDataFrame(table, "kind string, first int, n int")
+    of = F.when(F.col("n").isNull(), F.pmod(hashed, F.lit(rest))).otherwise(F.col("first") + F.pmod(hashed, F.col("n")))
+    return docs.join(F.broadcast(own), "kind", "left").withColumn("shard", of.cast("int")), shards
+
+
+def _top_k(documents: DataFrame, queries: DataFrame, k: int, kind: str | None) -> DataFrame:
     """``top_k``, with all that Python works on run before it returns."""
     spark = documents.sparkSession
     scratch = Scratch(spark)
-    docs = documents.selectExpr("cast(doc_id as long) as doc_id", "text").where("doc_id is not null")
-    docs = scratch.save(docs.mapInArrow(_tokens, "doc_id long, salt long, words long, terms binary, tf binary"))
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (F.col(kind) if kind else F.lit(None)).cast("string").alias("kind")).where("doc_id is not null")
+    docs = scratch.save(docs.mapInArrow(_tokens, "doc_id long, kind string, salt long, words long, terms binary, tf binary"))
     asked = queries.selectExpr("cast(doc_id as long) as doc_id", "text").where("doc_id is not null").groupBy("doc_id").agg(F.min("text").alias("text"))
     wanted = scratch.save(asked.mapInArrow(_query_terms, "query_id long, term long, qtf long"))
     n, words = docs.agg(F.count("*"), F.coalesce(F.sum("words"), F.lit(0))).first()
@@ -370,9 +388,9 @@ def _top_k(documents: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighed = wanted.join(df.select("term", idf.alias("idf")), "term").groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("term", (F.col("qtf") * F.col("idf")).alias("w")))).alias("t"))
     weighed = scratch.save(weighed.select("query_id", F.col("t.term").alias("keys"), F.col("t.w").alias("weights")))
-    shards = max(1, -(-n // SHARD))
+    placed, shards = _sharded(docs, n)
     no, none = F.lit(False).alias("query"), lambda kind, name: F.lit(None).cast(kind).alias(name)
-    rows = docs.select(F.pmod(F.xxhash64("doc_id", "salt"), F.lit(shards)).cast("int").alias("shard"), no, F.col("doc_id").alias("id"), "words", "terms", "tf", none("array<long>", "keys"), none("array<double>", "weights"))
+    rows = placed.select("shard", no, F.col("doc_id").alias("id"), "words", "terms", "tf", none("array<long>", "keys"), none("array<double>", "weights"))
     rounds = max(1, -(-weighed.count() // ROUND))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
 

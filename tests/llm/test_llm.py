@@ -401,6 +401,20 @@ def test_search_with_a_sample(spark, monkeypatch):
     assert shipped == [(5,), (7,)]  # groups of the sample's 5 shards and of the 20, on 8 cores
 
 
+def test_shards_of_one_kind(spark, monkeypatch):
+    """Large kinds have shards of their own, the rows of small ones and of none share some; results are the same."""
+    r, kinds = random.Random(14), {"x": vocabulary(14, 60), "y": vocabulary(15, 60), "z": vocabulary(16, 60), None: vocabulary(17, 60)}
+    of = lambda i: "x" if i % 10 < 5 else "y" if i % 10 < 8 else "z" if i % 10 == 8 else None
+    df = spark.createDataFrame([(i, " ".join(r.choices(kinds[of(i)] + kinds["z"], k=12)), of(i)) for i in range(120)], "doc_id long, text string, lang string")
+    want = sorted(search.top_k(df, df.where("doc_id % 7 = 0"), 4).collect())
+    monkeypatch.setattr(search, "SHARD", 25)
+    placed, shards = search._sharded(df.selectExpr("doc_id", "lang as kind", "0L as salt"), 120)
+    assert shards == 6  # 3 of x, 2 of y, 1 of all others
+    assert [sorted(map(str, x["k"])) for x in placed.groupBy("shard").agg(F.expr("collect_set(coalesce(kind, 'none')) as k")).orderBy("shard").collect()] == [["none", "z"], *[["x"]] * 3, *[["y"]] * 2]
+    got = sorted(search.top_k(df, df.where("doc_id % 7 = 0"), 4, "lang").collect())
+    assert [x[:3] for x in got] == [x[:3] for x in want] and [x[3] for x in got] == pytest.approx([x[3] for x in want]) and len(want) == 72
+
+
 def test_what_a_document_needs_is_known(monkeypatch):
     """A shard whose lists can't add up to a query's least score isn't read; documents of that score are found."""
     ids, sizes, terms = np.arange(50), np.full(50, 2), np.tile([1, 2], 50)
