@@ -196,7 +196,7 @@ class Shard:
         out = []
         for (query, at, weights, least), partial in zip(own, self._dense_parts(own), strict=True):
             docs = self._candidates(query, at, weights, partial, k, least)
-            scores = self._scores(docs, at, weights)
+            scores = np.round(self._scores(docs, at, weights), 9)  # what differs by less is a tie
             top = np.lexsort((self.ids[docs], -scores))[:k]
             out += [(query, int(self.ids[docs[i]]), float(scores[i])) for i in top if scores[i] > 0 and scores[i] >= least * (1 - SLACK)]
         return out

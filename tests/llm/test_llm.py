@@ -422,6 +422,9 @@ def test_what_a_document_needs_is_known(monkeypatch):
     query = (-1, np.array([1, 2]), np.array([0.5, 0.25]))
     (_, _, score), *_ = found = shard.search([query], 3)
     assert shard.search([(*query, score)], 3) == found
+    with monkeypatch.context() as m:  # scores of 1e-13 more don't come before a smaller id
+        m.setattr(search.Shard, "_scores", lambda self, docs, *_: score + 1e-13 * docs)
+        assert [d for _, d, _ in shard.search([query], 3)] == [0, 1, 2]
     monkeypatch.setattr(search.Shard, "_candidates", None)
     assert shard.search([(*query, score * 1.01)], 3) == []
 
